@@ -1,0 +1,76 @@
+"""Ordered look-back that holds when one key has a large share of all rows.
+
+Most keys have few rows, so a plain `lag` per key is right for them. A hot key is cut into
+contiguous pieces of its order, each piece is looked back on by itself, and the last row of a
+piece is carried to the first row of the next. Cut points only decide where the work runs; the
+result does not depend on them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+# A key is hot from this many rows on, and only if it also has this share of all rows. The share
+# bounds the number of hot keys.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 256
+MOST_HOT_KEYS = 1024
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, key_rows) of frequent keys: one pass over one column with a mergeable sketch."""
+    top = rows.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {MOST_HOT_KEYS}, {MOST_HOT_KEYS * 16})").alias("top"),
+        F.count(F.lit(1)).alias("all_rows"),
+    )
+    return (
+        top.select(F.explode("top").alias("t"), "all_rows")
+        .where((F.col("t.count") >= hot_rows) & (F.col("t.count") * HOT_SHARE >= F.col("all_rows")))
+        .select(F.col("t.item").alias(key), F.col("t.count").alias("key_rows"))
+    )
+
+
+def with_previous(rows: DataFrame, key: str, order: list[str], hot: DataFrame | None = None,
+                  pieces: int = 256) -> DataFrame:
+    """Add `prev`, the row before this one under the same key, and `copies`.
+
+    `copies` is 1 except for exact copies of a row under a hot key, which come as one row.
+    Rows with a null key are left out. Where no key is hot, adaptive execution drops the
+    second half of the plan.
+    """
+    rows = rows.where(F.col(key).isNotNull())
+    whole_row = F.struct(*rows.columns)
+    hot = hot_keys(rows, key) if hot is None else hot
+
+    by_key = Window.partitionBy(key).orderBy(*order)
+    cold_part = (
+        rows.join(hot, key, "left_anti")
+        .select("*", F.lag(whole_row).over(by_key).alias("prev"), F.lit(1).cast("bigint").alias("copies"))
+    )
+
+    place = F.struct(*order)
+    merged = (
+        rows.join(hot.select(key), key, "left_semi")
+        .groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    )
+    every = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("key_rows") / pieces))
+    cuts = (
+        merged.join(hot, key)
+        .where(F.pmod(F.xxhash64(key, *order), every) == 0)
+        .groupBy(key).agg(F.array_sort(F.collect_set(place)).alias("cuts"))
+    )
+    pieced = merged.join(cuts, key, "left").select(
+        *rows.columns, "copies",
+        F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= place)), F.lit(0)).alias("piece"),
+    )
+    by_piece = Window.partitionBy(key, "piece").orderBy(*order)
+    carried = (
+        pieced.groupBy(key, "piece").agg(F.max_by(whole_row, place).alias("tail"))
+        .select(key, "piece", F.lag("tail").over(Window.partitionBy(key).orderBy("piece")).alias("carry"))
+    )
+    hot_part = (
+        pieced.withColumn("inside", F.lag(whole_row).over(by_piece))
+        .join(carried, [key, "piece"], "left")
+        .select(*rows.columns, F.coalesce("inside", "carry").alias("prev"), "copies")
+    )
+    return cold_part.unionByName(hot_part)
