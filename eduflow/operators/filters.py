@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from eduflow import schemas
 from eduflow.functions import values as V
@@ -10,9 +10,23 @@ from eduflow.functions import values as V
 KEPT_TYPES = ["insert", "update", "bootstrap-insert"]
 
 
+def as_facts(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed rows from JSON in a text column `value`.
+
+    Missing fields are null, and so is every field where the text is no JSON. A number may be
+    written as text.
+    """
+    numbers = {f.name for f in schema if isinstance(f.dataType, T.NumericType)}
+    loose = T.StructType([T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in schema])
+    parsed = lines.select(F.from_json("value", loose).alias("row"))
+    return parsed.select(*[
+        (F.col("row")[f.name].try_cast(f.dataType) if f.name in numbers else F.col("row")[f.name]).alias(f.name)
+        for f in schema])
+
+
 def parse_changes(lines: DataFrame) -> DataFrame:
-    """Change-log rows from a text column `value`; text that is no JSON gives null fields."""
-    return lines.select(F.from_json("value", schemas.CHANGE_LOG).alias("row")).select("row.*")
+    """Change-log rows from JSON text."""
+    return as_facts(lines, schemas.CHANGE_LOG)
 
 
 def clean_changes(changes: DataFrame, database: str) -> DataFrame:
@@ -105,11 +119,6 @@ def bad_lines(changes: DataFrame, label: str = "bad_lines") -> DataFrame:
     return changes.observe(label, F.count(F.when(F.col("database").isNull(), 1)).alias("bad_lines"))
 
 
-def as_facts(lines: DataFrame, schema) -> DataFrame:
-    """Facts of one topic from a text column `value`; missing fields are null."""
-    return lines.select(F.from_json("value", schema).alias("row")).select("row.*")
-
-
 def event_timed(rows: DataFrame, unit: str = "ms", delay: str | None = None) -> DataFrame:
     """Add `et`, the event time; `delay` sets a watermark on a stream."""
     millis = F.col("ts") if unit == "ms" else F.col("ts") * 1000

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eduflow import schemas
 from eduflow.functions import values as V
+from eduflow.operators import filters
 
 LOG_OBJECTS = ["start", "page", "err", "appVideo"]
 LOG_LISTS = {"action": "actions", "display": "displays"}
 
 
 def parse_log(lines: DataFrame) -> DataFrame:
-    return lines.select(F.from_json("value", schemas.RAW_LOG).alias("row")).select("row.*")
+    return filters.as_facts(lines, schemas.RAW_LOG)
 
 
 def flat_log(log: DataFrame) -> DataFrame:

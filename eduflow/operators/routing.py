@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from eduflow import schemas
 from eduflow.functions import values as V
+from eduflow.operators import filters
 
 
 def parse_config(lines: DataFrame) -> DataFrame:
-    return lines.select(F.from_json("value", schemas.CONFIG_CHANGE).alias("row")).select("row.*")
+    return filters.as_facts(lines, schemas.CONFIG_CHANGE)
 
 
 def config_rows(changes: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eduflow.functions import values as V
-from eduflow.operators import filters, projections, state
 
 LENGTH = "5 seconds"
 DELAY = "3 seconds"
@@ -44,7 +43,7 @@ def summarise(rows: DataFrame, spec: Summary, length: str = LENGTH) -> DataFrame
     window = F.window("et", length)
     if not spec.distinct:
         grouped = rows.groupBy(window, *spec.keys).agg(
-            *[F.sum(c).alias(c) for c in spec.sums], *_firsts(spec, "et"))
+            *[F.sum(c).alias(c) for c in spec.sums], *_firsts(spec))
         return _bounds(grouped, spec)
 
     members = list(dict.fromkeys(_member(s)[0] for s in spec.distinct.values()))
@@ -60,7 +59,7 @@ def summarise(rows: DataFrame, spec: Summary, length: str = LENGTH) -> DataFrame
     per_member = tagged.groupBy(window, *spec.keys, "what", "member").agg(
         *[F.sum(F.when(lead, F.col(c))).alias(c) for c in spec.sums],
         *[F.max(flag).alias(name) for name, (_, flag) in flags.items()],
-        *_firsts(spec, "et"),
+        *_firsts(spec),
     )
     counted = per_member.groupBy("window", *spec.keys).agg(
         *[F.sum(c).alias(c) for c in spec.sums],
@@ -71,8 +70,8 @@ def summarise(rows: DataFrame, spec: Summary, length: str = LENGTH) -> DataFrame
     return _bounds(counted, spec)
 
 
-def _firsts(spec: Summary, time: str) -> list[Column]:
-    return [F.min(F.struct(time, c)).alias(f"first_{c}") for c in spec.first]
+def _firsts(spec: Summary) -> list[Column]:
+    return [F.min(F.struct("ts", c)).alias(f"first_{c}") for c in spec.first]
 
 
 def _bounds(grouped: DataFrame, spec: Summary) -> DataFrame:

@@ -22,7 +22,7 @@ def _millis(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ts", F.col("ts") * 1000)
 
 
-def _ordered(facts: DataFrame) -> DataFrame:
+def ordered(facts: DataFrame) -> DataFrame:
     """Facts carry `seq` where the source numbers its rows; else ties in `ts` are cut by content."""
     if "seq" in facts.columns:
         return facts
@@ -49,7 +49,7 @@ def carts(facts: DataFrame) -> DataFrame:
 
 
 def corrected_orders(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    kept = _ordered(facts).select("id", "order_id", "user_id", "course_id", "course_name", "province_id",
+    kept = ordered(facts).select("id", "order_id", "user_id", "course_id", "course_name", "province_id",
                                   "sc", "final_amount", "ts", "seq")
     return state.correct_repeats(kept, "id", ORDER_ARRIVAL, projections.order_measures(), hot)
 
@@ -68,7 +68,7 @@ def payments(facts: DataFrame) -> DataFrame:
 
 
 def exam_papers(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    kept = _ordered(facts).select("exam_id", "paper_id", "user_id", "exam_score", "duration_sec", "ts", "seq")
+    kept = ordered(facts).select("exam_id", "paper_id", "user_id", "exam_score", "duration_sec", "ts", "seq")
     return _millis(state.correct_repeats(kept, "exam_id", ORDER_ARRIVAL, projections.exam_measures(), hot))
 
 
