@@ -1,0 +1,76 @@
+"""A hot key gives the same result as the plain rule."""
+
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from eduflow.operators import skew, state
+
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """900 rows; a third under one key, with equal times, and a third of those exact copies."""
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 70).cast("string"))).alias("key"),
+        F.when(F.col("id") % 9 == 0, 5).otherwise(F.col("id") % 40).cast("bigint").alias("ts"),
+        F.when(F.col("id") % 9 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("seq"),
+        F.when(F.col("id") % 9 == 0, 3).otherwise(F.col("id") % 11).cast("bigint").alias("amount"))
+    return rows.unionByName(spark.sql("select cast(null as string) key, 1L ts, 1L seq, 1L amount"))
+
+
+def plain_lag(rows):
+    w = Window.partitionBy("key").orderBy("ts", "seq")
+    return rows.where("key is not null").withColumn("prev", F.lag(F.struct(*rows.columns)).over(w))
+
+
+def test_only_the_hot_key_is_found(uneven):
+    found = skew.hot_keys(uneven, "key", hot_rows=100).collect()
+    assert [(r.key, r.key_rows) for r in found] == [("hot", 300)]
+    assert skew.hot_keys(uneven, "key").count() == 0
+
+
+@pytest.mark.parametrize("pieces", [1, 4, 64, 1000])
+def test_previous_row_of_a_hot_key(uneven, pieces):
+    hot = skew.hot_keys(uneven, "key", hot_rows=100)
+    want = Counter((r.key, r.ts, r.seq, r.amount, r.prev) for r in plain_lag(uneven).collect())
+    got = Counter()
+    for r in skew.with_previous(uneven, "key", ["ts", "seq"], hot, pieces).collect():
+        got[(r.key, r.ts, r.seq, r.amount, r.prev)] += 1
+        me = tuple(r)[:4]
+        for _ in range(r.copies - 1):
+            got[(*me, me)] += 1
+    assert {k: v for k, v in got.items()} == {(*k[:4], tuple(k[4]) if k[4] else None): v for k, v in want.items()}
+
+
+def test_no_key_is_hot_by_default(uneven):
+    got = skew.with_previous(uneven, "key", ["ts", "seq"])
+    assert got.where("copies <> 1").count() == 0
+    assert got.count() == 900
+
+
+def test_corrections_of_a_hot_key(uneven):
+    measures = {"amount": F.col("amount").cast("decimal(16,2)")}
+    plain = state.correct_repeats(uneven, "key", ["ts", "seq"], measures)
+    hot = state.correct_repeats(uneven, "key", ["ts", "seq"], measures, skew.hot_keys(uneven, "key", hot_rows=100))
+
+    def spread(rows):
+        got = Counter()
+        for r in rows.collect():
+            got[(r.key, r.ts, r.seq, r.amount)] += r.repeats
+        return got
+
+    assert spread(plain) == spread(hot)
+    # the corrections of a key add up to its last amount
+    last = {r.key: r.amount for r in uneven.where("key is not null").groupBy("key").agg(
+        F.max_by("amount", F.struct("ts", "seq")).alias("amount")).collect()}
+    sums = {r.key: r.amount for r in hot.groupBy("key").agg(F.sum("amount").alias("amount")).collect()}
+    assert sums == {k: Decimal(v) for k, v in last.items()}
+
+
+def test_the_hot_half_is_dropped_when_nothing_is_hot(uneven):
+    frame = skew.with_previous(uneven, "key", ["ts", "seq"])
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Window") == 1

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from eduflow import schemas
+from eduflow.operators import windows
 from eduflow.plans import report
 from eduflow.streaming.jobs import Warehouse
 
@@ -122,8 +123,8 @@ def write(folder, topic, number, lines):
 
 
 def run(*starts):
-    for start in starts:
-        query = start()
+    """Start the queries together and wait for all of them."""
+    for query in [start() for start in starts]:
         query.awaitTermination()
         assert query.exception() is None
 
@@ -132,24 +133,16 @@ def run(*starts):
 def warehouse(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("warehouse")
     w = Warehouse(spark, str(folder), "edu", every=None, dim_database="dims_e2e")
-    for number, (changes, logs, configs) in enumerate([
-            (CHANGES, LOGS, CONFIG), (CLOSING_CHANGES, CLOSING_LOGS, [])]):
-        write(folder, schemas.CHANGE_LOG_TOPIC, number, changes)
-        write(folder, schemas.RAW_LOG_TOPIC, number, logs)
-        if configs:
-            write(folder, "table_process", number, configs)
-        run(w.config, w.dim_rows, w.logs, w.routed, w.cart_adds, w.order_details, w.exam_questions, w.payments)
-        run(*[lambda t=t: w.summary(t) for t in schemas_tables()])
-    # one more look, for rows that left a join only when the closing rows came
-    run(w.order_details, w.payments, *[lambda t=t: w.summary(t) for t in schemas_tables()])
+    write(folder, schemas.CHANGE_LOG_TOPIC, 0, CHANGES + CLOSING_CHANGES)
+    write(folder, schemas.RAW_LOG_TOPIC, 0, LOGS + CLOSING_LOGS)
+    write(folder, "table_process", 0, CONFIG)
+    run(w.config, w.logs, w.cart_adds, w.exam_questions)
+    run(w.dim_rows, w.routed, w.order_details)
+    run(w.payments)
+    run(*[lambda t=t: w.summary(t) for t in windows.SUMMARIES])
     return w
 
 
-def schemas_tables():
-    from eduflow.operators import windows
-    return list(windows.SUMMARIES)
-
-
 def rows(w, table, *columns):
     first_days = w.windows(table).where("stt < '2024-01-05'")
     return sorted(tuple(r) for r in first_days.select(*columns).collect())
