@@ -32,9 +32,9 @@ def add(name: str, sql: str | None):
     return keep
 
 
-def item_hot_keys(i: Inputs, column: str) -> DataFrame:
+def item_hot_keys(i: Inputs, column: str) -> dict:
     """Hot ids, found on the narrow table the facts are made of."""
-    ids = i.table("lineitem").select(
+    ids = i.table("lineitem", "l_orderkey").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), text("l_orderkey").alias("exam_id"))
     return skew.hot_keys(ids.select(column), column)
 
@@ -366,7 +366,7 @@ def province_name(i: Inputs) -> DataFrame:
 
 
 def _item_counts(i: Inputs, column: str, name: str) -> DataFrame:
-    return i.table("lineitem").groupBy(text(column).alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    return i.table("lineitem", "l_orderkey").groupBy(text(column).alias(name)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _item_counts_sql(column: str, name: str) -> str:
@@ -593,7 +593,7 @@ def functions(i: Inputs) -> DataFrame:
   SELECT doc_id, unnest(list_distinct(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '))) AS keyword
   FROM documents) WHERE keyword <> '' GROUP BY keyword""")
 def keyword_split(i: Inputs) -> DataFrame:
-    return keywords.word_counts(i.table("documents"), "text")
+    return keywords.word_counts(i.table("documents", "doc_id"), "text")
 
 
 # the driver's view

@@ -18,10 +18,10 @@ def as_facts(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """
     numbers = {f.name for f in schema if isinstance(f.dataType, T.NumericType)}
     loose = T.StructType([T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in schema])
-    parsed = lines.select(F.from_json("value", loose).alias("row"))
+    # a generator holds later filters above it, so that a line is parsed once
+    parsed = lines.select(F.inline(F.array(F.from_json("value", loose))))
     return parsed.select(*[
-        (F.col("row")[f.name].try_cast(f.dataType) if f.name in numbers else F.col("row")[f.name]).alias(f.name)
-        for f in schema])
+        (F.col(f.name).try_cast(f.dataType) if f.name in numbers else F.col(f.name)).alias(f.name) for f in schema])
 
 
 def parse_changes(lines: DataFrame) -> DataFrame:

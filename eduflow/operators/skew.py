@@ -17,60 +17,60 @@ HOT_SHARE = 256
 MOST_HOT_KEYS = 1024
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key, key_rows) of frequent keys: one pass over one column with a mergeable sketch."""
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
+    """Frequent keys and their rows: one pass over one column with a mergeable sketch.
+
+    This runs a job. What comes back is at most MOST_HOT_KEYS keys, and nothing in most tables.
+    """
     top = rows.where(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k(`{key}`, {MOST_HOT_KEYS}, {MOST_HOT_KEYS * 16})").alias("top"),
         F.count(F.lit(1)).alias("all_rows"),
-    )
-    return (
-        top.select(F.explode("top").alias("t"), "all_rows")
-        .where((F.col("t.count") >= hot_rows) & (F.col("t.count") * HOT_SHARE >= F.col("all_rows")))
-        .select(F.col("t.item").alias(key), F.col("t.count").alias("key_rows"))
-    )
+    ).first()
+    return {t["item"]: t["count"] for t in top.top
+            if t["count"] >= hot_rows and t["count"] * HOT_SHARE >= top.all_rows}
 
 
-def with_previous(rows: DataFrame, key: str, order: list[str], hot: DataFrame | None = None,
+def with_previous(rows: DataFrame, key: str, order: list[str], hot: dict | None = None,
                   pieces: int = 256) -> DataFrame:
     """Add `prev`, the row before this one under the same key, and `copies`.
 
     `copies` is 1 except for exact copies of a row under a hot key, which come as one row.
-    Rows with a null key are left out. Where no key is hot, adaptive execution drops the
-    second half of the plan.
+    Rows with a null key are left out. `hot` are the keys to cut up, found here if not given.
     """
     rows = rows.where(F.col(key).isNotNull())
-    whole_row = F.struct(*rows.columns)
     hot = hot_keys(rows, key) if hot is None else hot
+    if not hot:
+        return _per_key(rows, key, order)
+    listed = F.col(key).isin(list(hot))
+    cold = _per_key(rows.where(~listed), key, order)
+    return cold.unionByName(_in_pieces(rows.where(listed), key, order, hot, pieces))
 
-    by_key = Window.partitionBy(key).orderBy(*order)
-    cold_part = (
-        rows.join(hot, key, "left_anti")
-        .select("*", F.lag(whole_row).over(by_key).alias("prev"), F.lit(1).cast("bigint").alias("copies"))
-    )
 
-    place = F.struct(*order)
-    merged = (
-        rows.join(hot.select(key), key, "left_semi")
-        .groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
-    )
-    every = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("key_rows") / pieces))
+def _per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    before = F.lag(F.struct(*rows.columns)).over(Window.partitionBy(key).orderBy(*order))
+    return rows.select("*", before.alias("prev"), F.lit(1).cast("bigint").alias("copies"))
+
+
+def _in_pieces(rows: DataFrame, key: str, order: list[str], hot: dict, pieces: int) -> DataFrame:
+    whole_row, place = F.struct(*rows.columns), F.struct(*order)
+    merged = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+    # about `pieces` cut points per key, picked by a hash of the place, so the same in every run
+    every = F.create_map(*[F.lit(x) for k, n in hot.items() for x in (k, max(1, n // pieces))])[F.col(key)]
     cuts = (
-        merged.join(hot, key)
-        .where(F.pmod(F.xxhash64(key, *order), every) == 0)
+        merged.where(F.pmod(F.xxhash64(key, *order), every) == 0)
         .groupBy(key).agg(F.array_sort(F.collect_set(place)).alias("cuts"))
     )
     pieced = merged.join(cuts, key, "left").select(
         *rows.columns, "copies",
         F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= place)), F.lit(0)).alias("piece"),
     )
-    by_piece = Window.partitionBy(key, "piece").orderBy(*order)
     carried = (
         pieced.groupBy(key, "piece").agg(F.max_by(whole_row, place).alias("tail"))
         .select(key, "piece", F.lag("tail").over(Window.partitionBy(key).orderBy("piece")).alias("carry"))
     )
-    hot_part = (
-        pieced.withColumn("inside", F.lag(whole_row).over(by_piece))
-        .join(carried, [key, "piece"], "left")
+    inside = F.lag(whole_row).over(Window.partitionBy(key, "piece").orderBy(*order))
+    return (
+        pieced.withColumn("inside", inside).join(carried, [key, "piece"], "left")
         .select(*rows.columns, F.coalesce("inside", "carry").alias("prev"), "copies")
     )
-    return cold_part.unionByName(hot_part)

@@ -96,7 +96,7 @@ def daily_logins(log: DataFrame) -> DataFrame:
 
 
 def correct_repeats(facts: DataFrame, key: str, order: list[str], measures: dict[str, Column],
-                    hot: DataFrame | None = None) -> DataFrame:
+                    hot: dict | None = None) -> DataFrame:
     """Turn repeats of a fact into corrections.
 
     The first row of a key stands as it is. A later row gives the row before it again, with each
@@ -105,6 +105,7 @@ def correct_repeats(facts: DataFrame, key: str, order: list[str], measures: dict
     """
     plain = [c for c in facts.columns if c not in measures]
     typed = facts.select(*plain, *[m.alias(name) for name, m in measures.items()])
+    hot = skew.hot_keys(typed, key) if hot is None else hot
     paired = skew.with_previous(typed, key, order, hot)
     one = F.lit(1).cast("bigint")
 
@@ -118,6 +119,8 @@ def correct_repeats(facts: DataFrame, key: str, order: list[str], measures: dict
           for m in measures],
         one.alias("repeats"),
     )
+    if hot == {}:
+        return head
     copies = paired.where(F.col("copies") > 1).select(
         *plain, *[F.lit(0).cast(typed.schema[m].dataType).alias(m) for m in measures],
         (F.col("copies") - 1).alias("repeats"),

@@ -48,17 +48,17 @@ def carts(facts: DataFrame) -> DataFrame:
     return _millis(projections.cart_measures(facts))
 
 
-def corrected_orders(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def corrected_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
     kept = ordered(facts).select("id", "order_id", "user_id", "course_id", "course_name", "province_id",
                                   "sc", "final_amount", "ts", "seq")
     return state.correct_repeats(kept, "id", ORDER_ARRIVAL, projections.order_measures(), hot)
 
 
-def course_orders(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def course_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
     return _millis(corrected_orders(facts, hot))
 
 
-def source_orders(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def source_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
     # the filter comes first: a row without a source takes no part in correction
     return _millis(corrected_orders(filters.sourced_orders(facts), hot)).withColumnRenamed("sc", "source_id")
 
@@ -67,7 +67,7 @@ def payments(facts: DataFrame) -> DataFrame:
     return _millis(projections.payment_measures(facts))
 
 
-def exam_papers(facts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def exam_papers(facts: DataFrame, hot: dict | None = None) -> DataFrame:
     kept = ordered(facts).select("exam_id", "paper_id", "user_id", "exam_score", "duration_sec", "ts", "seq")
     return _millis(state.correct_repeats(kept, "exam_id", ORDER_ARRIVAL, projections.exam_measures(), hot))
 
