@@ -13,13 +13,18 @@ DATABASE = "edu"
 
 
 class Inputs:
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, live: tuple[str, ...] = ()):
+        """`live` tables are read as streams."""
         self.spark = spark
         self.folder = folder
+        self.live = live
 
     def table(self, name: str, spread_by: str | None = None) -> DataFrame:
         """A given table. One of fewer files than cores is spread out before costly row work."""
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name in self.live:
+            return (self.spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
+                    .parquet(self.folder))
         cores = self.spark.sparkContext.defaultParallelism
         if spread_by and len(table.inputFiles()) < cores:
             return table.repartition(cores, spread_by)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +15,7 @@ from eduflow.functions import values as V
 from eduflow.operators import filters, joins, projections, routing, skew, state, windows
 from eduflow.plans import facts, keywords, report, summaries
 from eduflow.sources import topics
+from eduflow.streaming import states
 
 Query = Callable[[Inputs], DataFrame]
 ENTRIES: dict[str, tuple[Query, str | None]] = {}
@@ -33,8 +36,11 @@ def add(name: str, sql: str | None):
 
 
 def item_hot_keys(i: Inputs, column: str) -> dict:
-    """Hot ids, found on the narrow table the facts are made of."""
-    ids = i.table("lineitem", "l_orderkey").select(
+    """Hot ids, found on the narrow table the facts are made of; a short table cannot have any."""
+    items = i.table("lineitem")
+    if items.count() < skew.HOT_ROWS:
+        return {}
+    ids = items.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), text("l_orderkey").alias("exam_id"))
     return skew.hot_keys(ids.select(column), column)
 
@@ -596,6 +602,90 @@ def keyword_split(i: Inputs) -> DataFrame:
     return keywords.word_counts(i.table("documents", "doc_id"), "text")
 
 
+# the same rules as streams over the tables, run until the tables are read
+
+def run_stream(i: Inputs, rows: DataFrame, name: str) -> DataFrame:
+    """Write a stream to files in the shared folder and read them back."""
+    folder = f"{work_folder(i.spark)}/{name}-{uuid.uuid4().hex}"
+    query = (rows.writeStream.format("parquet").option("path", f"{folder}/rows")
+             .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return i.spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; a local session without one gets its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return f"{session.shared_folder(spark)}/streams"
+
+
+ANY_FACT = f"SELECT strftime(max(l_shipdate), {O.FORMAT}) FROM lineitem"
+LAST_FACT = {
+    7: ANY_FACT, 8: ANY_FACT, 12: ANY_FACT,
+    9: f"WITH {O.DETAIL} SELECT max(create_time) FROM detail WHERE sc IS NOT NULL"}
+
+
+def _streams() -> None:
+    for number, short in SUMMARY_NAMES.items():
+        def streamed(i: Inputs, number=number, short=short) -> DataFrame:
+            live = Inputs(i.spark, i.folder, ("lineitem",) if number in (7, 8, 9, 10, 12, 13) else ("events",))
+            rows = states.windowed(TABLES[number], summary_facts(live, number), i.dim, delay="0 seconds")
+            return run_stream(i, RATES.get(number, lambda r: r)(rows), f"str_{number:02d}")
+
+        # a window closes when a later one has begun, so the last one stays open; corrections go
+        # back in time, so there the last fact tells, not the last window
+        last = LAST_FACT.get(number, "SELECT max(stt) FROM whole")
+        add(f"str_{number:02d}_{short}", f"""WITH whole AS ({O.summary(number, O.FIVE_SECONDS)})
+          SELECT * FROM whole WHERE stt < ({last})""")(streamed)
+
+
+FAR = ("20000 days", "20000 days")
+
+
+def _timed(rows: DataFrame) -> DataFrame:
+    return filters.event_timed(rows, "s", windows.DELAY)
+
+
+@add("str_join_01_order_info", f"SELECT d.*, province_id FROM ({DETAIL_ROWS}) d JOIN {INFO} ON order_id = info_id")
+def stream_join_info(i: Inputs) -> DataFrame:
+    live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
+    joined = joins.orders_with_province(_timed(order_details(live)), _timed(order_infos(live)), FAR)
+    return run_stream(i, joined.drop("et"), "str_join_01")
+
+
+@add("str_join_03_payment_detail", PAID.replace("LEFT JOIN (SELECT item, sc FROM page", "LEFT JOIN (SELECT item, NULL AS sc FROM page"))
+def stream_join_payment(i: Inputs) -> DataFrame:
+    """Payments with the details of their orders, spread over four tasks per order; `sc` is not known here."""
+    live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
+    still = joins.orders_with_province(_timed(order_details(live)), order_infos(i))
+    details = still.withColumn("sc", F.lit(None).cast("string"))
+    return run_stream(i, joins.payment_facts(_timed(payments(live)), details, FAR, salt=4), "str_join_03")
+
+
+@add("str_join_04_exam_question", EXAMINED)
+def stream_join_exam(i: Inputs) -> DataFrame:
+    live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
+    joined = joins.exam_question_facts(_timed(exam_questions(live)), _timed(exams(live)), FAR, salt=4)
+    return run_stream(i, joined, "str_join_04")
+
+
+@add("str_dwd_01_split_log", SPLIT + " FROM part JOIN ev USING (event_id)")
+def stream_split_log(i: Inputs) -> DataFrame:
+    live = Inputs(i.spark, i.folder, ("events",))
+    return run_stream(i, _split_columns(projections.split_log(projections.parse_log(live.raw_log_lines()))), "str_dwd_01")
+
+
+@add("str_st_01_new_visitor_flag", f"WITH {O.FLAGS} SELECT mid, ts, page_id, item, is_new FROM flagged")
+def stream_visitor_flag(i: Inputs) -> DataFrame:
+    live = Inputs(i.spark, i.folder, ("events",))
+    rows = live.page_log().select("mid", "ts", "page_id", "item", "is_new")
+    return run_stream(i, states.repair_new_flag(rows), "str_st_01")
+
+
+_streams()
+
+
 # the driver's view
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -19,13 +19,13 @@ class Summary:
     """Keys, summed columns and distinct counts of one summary table.
 
     `distinct` maps a result to a member column, or to (member column, flag column) where only
-    flagged rows count. `first` maps a result to a column whose earliest value is kept.
+    flagged rows count. `name` is a column whose earliest value in the window is kept.
     """
 
     keys: list[str] = field(default_factory=list)
     sums: list[str] = field(default_factory=list)
     distinct: dict[str, str | tuple[str, str]] = field(default_factory=dict)
-    first: list[str] = field(default_factory=list)
+    name: str | None = None
 
 
 def _member(spec) -> tuple[str, Column]:
@@ -38,40 +38,49 @@ def summarise(rows: DataFrame, spec: Summary, length: str = LENGTH) -> DataFrame
     """Window `rows` by `et`.
 
     Distinct counts are exact and hold no sets: rows are first reduced to one per member, spread
-    over all tasks by member, and then counted. A missing member counts as one member.
+    over all tasks by member, and then counted. A missing member counts as one member. Names are
+    members too: text in an aggregate's buffer would make it sort, so a name stays a group key
+    until few rows are left, and only then the earliest is picked.
     """
     window = F.window("et", length)
-    if not spec.distinct:
-        grouped = rows.groupBy(window, *spec.keys).agg(
-            *[F.sum(c).alias(c) for c in spec.sums], *_firsts(spec))
-        return _bounds(grouped, spec)
-
-    members = list(dict.fromkeys(_member(s)[0] for s in spec.distinct.values()))
-    flags = {name: _member(s) for name, s in spec.distinct.items()}
-    if len(members) == 1:
-        tagged = rows.withColumn("what", F.lit(0)).withColumn("member", F.col(members[0]))
+    named = [spec.name] if spec.name else []
+    if spec.distinct:
+        grouped = _per_member(rows, spec, window)
     else:
-        entries = [F.struct(F.lit(i).alias("what"), F.col(m).cast("string").alias("member"))
-                   for i, m in enumerate(members)]
-        tagged = rows.withColumn("entry", F.explode(F.array(*entries))).select("*", "entry.*")
+        grouped = rows.groupBy(window, *spec.keys, *[F.col(n).alias("name") for n in named]).agg(
+            *[F.sum(c).alias(c) for c in spec.sums], *[F.min("ts").alias("at") for _ in named])
+    if named:
+        # rows that carry no name have no `at`, and a null sorts behind any time here
+        earliest = F.min(F.struct(F.col("at").isNull(), "at", "name"))["name"]
+        grouped = grouped.groupBy("window", *spec.keys).agg(
+            *[F.sum(c).alias(c) for c in [*spec.sums, *spec.distinct]], earliest.alias(spec.name))
+    return _bounds(grouped, spec)
+
+
+def _per_member(rows: DataFrame, spec: Summary, window: Column) -> DataFrame:
+    flags = {result: _member(s) for result, s in spec.distinct.items()}
+    members = list(dict.fromkeys(column for column, _ in flags.values()))
+    kinds = members + ([spec.name] if spec.name else [])
+    if len(kinds) == 1:
+        tagged = rows.withColumn("kind", F.lit(0)).withColumn("member", F.col(members[0]))
+    else:
+        entries = [F.struct(F.lit(i).alias("kind"), F.col(m).cast("string").alias("member"))
+                   for i, m in enumerate(kinds)]
+        tagged = rows.select("*", F.inline(F.array(*entries)))
 
-    lead = F.col("what") == 0
-    per_member = tagged.groupBy(window, *spec.keys, "what", "member").agg(
+    lead, naming = F.col("kind") == 0, F.col("kind") == len(members)
+    reduced = tagged.groupBy(window, *spec.keys, "kind", "member").agg(
         *[F.sum(F.when(lead, F.col(c))).alias(c) for c in spec.sums],
-        *[F.max(flag).alias(name) for name, (_, flag) in flags.items()],
-        *_firsts(spec),
+        *[F.max(flag).alias(result) for result, (_, flag) in flags.items()],
+        *([F.min(F.when(naming, F.col("ts"))).alias("at")] if spec.name else []),
     )
-    counted = per_member.groupBy("window", *spec.keys).agg(
+    name = [F.when(naming, F.col("member")).alias("name"), naming.alias("naming")] if spec.name else []
+    return reduced.groupBy("window", *spec.keys, *name).agg(
         *[F.sum(c).alias(c) for c in spec.sums],
-        *[F.sum(F.when(F.col("what") == members.index(member), F.col(name)).otherwise(0)).cast("bigint").alias(name)
-          for name, (member, _) in flags.items()],
-        *[F.min(f"first_{c}").alias(f"first_{c}") for c in spec.first],
+        *[F.sum(F.when(F.col("kind") == members.index(m), F.col(result)).otherwise(0)).cast("bigint").alias(result)
+          for result, (m, _) in flags.items()],
+        *([F.min("at").alias("at")] if spec.name else []),
     )
-    return _bounds(counted, spec)
-
-
-def _firsts(spec: Summary) -> list[Column]:
-    return [F.min(F.struct("ts", c)).alias(f"first_{c}") for c in spec.first]
 
 
 def _bounds(grouped: DataFrame, spec: Summary) -> DataFrame:
@@ -79,7 +88,7 @@ def _bounds(grouped: DataFrame, spec: Summary) -> DataFrame:
         F.date_format("window.start", V.DATE_TIME).alias("stt"),
         F.date_format("window.end", V.DATE_TIME).alias("edt"),
         *spec.keys,
-        *[F.col(f"first_{c}")[c].alias(c) for c in spec.first],
+        *([spec.name] if spec.name else []),
         *spec.distinct,
         *[F.coalesce(F.col(c), F.lit(0)).cast(_sum_type(grouped, c)).alias(c) for c in spec.sums],
     )
@@ -100,9 +109,9 @@ SUMMARIES = {
     "dws_user_traffic_home_detail_page_view_window": Summary([], ["home_count", "detail_count"]),
     "dws_user_user_login_window": Summary([], ["user_count", "back_count"]),
     "dws_user_user_register_window": Summary([], ["user_register_count"]),
-    "dws_trade_cart_add_window": Summary(["course_id"], ["cart_count"], first=["course_name"]),
+    "dws_trade_cart_add_window": Summary(["course_id"], ["cart_count"], name="course_name"),
     "dws_trade_course_order_window":
-        Summary(["course_id"], ["final_amount"], ORDER_DISTINCT, first=["course_name"]),
+        Summary(["course_id"], ["final_amount"], ORDER_DISTINCT, name="course_name"),
     "dws_trade_province_order_window": Summary(["province_id"], ["final_amount"], ORDER_DISTINCT),
     "dws_trade_source_order_window": Summary(["source_id"], ["final_amount"], ORDER_DISTINCT),
     "dws_trade_pay_suc_window": Summary(["province_id"], [], {"user_count": "user_id"}),

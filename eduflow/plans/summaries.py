@@ -174,9 +174,12 @@ JOBS = {
 def measured(table: str, facts: DataFrame, dims: Dims | None = None) -> DataFrame:
     job = JOBS[table]
     rows = job.measure(facts, dims) if job.needs_dims else job.measure(facts)
-    if job.key:
-        rows = filters.with_key(rows, job.key, f"{table}_lost")
-    return filters.event_timed(rows)
+    return filters.event_timed(keyed(table, rows))
+
+
+def keyed(table: str, rows: DataFrame) -> DataFrame:
+    key = JOBS[table].key
+    return filters.with_key(rows, key, f"{table}_lost") if key else rows
 
 
 def windowed(table: str, facts: DataFrame, dims: Dims | None = None, length: str = windows.LENGTH) -> DataFrame:

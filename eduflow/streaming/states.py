@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zoneinfo
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from eduflow.operators import filters, projections, windows
@@ -11,6 +12,9 @@ from eduflow.operators.joins import Dims
 from eduflow.plans import summaries
 from eduflow.streaming import processors as P
 
+# executors need no copy of this package: the processors travel with the query
+cloudpickle.register_pickle_by_value(P)
+
 VIEW = "source string, is_new string, ts bigint, uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint, et timestamp"
 LOGIN = "ts bigint, user_count bigint, back_count bigint, et timestamp"
 
@@ -40,7 +44,7 @@ def daily_visitors(pages: DataFrame, keep_ms: int | None = None) -> DataFrame:
 
 
 def daily_logins(pages: DataFrame, keep_ms: int | None = None) -> DataFrame:
-    rows = filters.known_users(pages).select("uid", "ts", "et")
+    rows = pages.select("uid", "ts", "et")
     return _through(rows, "uid", P.DailyLogin(zone=_zone(pages), keep_ms=keep_ms), LOGIN)
 
 
@@ -80,11 +84,11 @@ def measured(table: str, facts: DataFrame, dims: Dims | None, window_ms: int, de
     elif job.measure is summaries.page_views:
         rows = daily_visitors(filters.event_timed(facts, delay=delay), keep_ms)
     elif table == "dws_user_user_login_window":
-        rows = daily_logins(filters.event_timed(facts, delay=delay), keep_ms)
+        rows = daily_logins(filters.event_timed(filters.known_users(facts), delay=delay), keep_ms)
     else:
         plain = job.measure(facts, dims) if job.needs_dims else job.measure(facts)
-        rows = filters.event_timed(plain, delay=delay)
-    return filters.with_key(rows, job.key, f"{table}_lost") if job.key else rows
+        return filters.event_timed(summaries.keyed(table, plain), delay=delay)
+    return summaries.keyed(table, rows)
 
 
 def windowed(table: str, facts: DataFrame, dims: Dims | None = None, window_seconds: int = 5,

@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -6,8 +5,6 @@ import pytest
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
-# Python workers import the processors
-os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 from eduflow import session  # noqa: E402
 
