@@ -630,7 +630,7 @@ def _streams() -> None:
     for number, short in SUMMARY_NAMES.items():
         def streamed(i: Inputs, number=number, short=short) -> DataFrame:
             live = Inputs(i.spark, i.folder, ("lineitem",) if number in (7, 8, 9, 10, 12, 13) else ("events",))
-            rows = states.windowed(TABLES[number], summary_facts(live, number), i.dim, delay="0 seconds")
+            rows = states.windowed(TABLES[number], summary_facts(live, number), i.dim, delay="0 seconds", keep_ms=0)
             return run_stream(i, RATES.get(number, lambda r: r)(rows), f"str_{number:02d}")
 
         # a window closes when a later one has begun, so the last one stays open; corrections go

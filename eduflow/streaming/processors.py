@@ -9,6 +9,7 @@ rows per batch, where building a table per key would cost more than the rows do.
 from __future__ import annotations
 
 import datetime
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -117,16 +118,19 @@ class Correction(_Keyed):
     """First row of a fact as it is; a later one gives the row before, with measures new minus old.
 
     A row given again carries its old time. Its event time is the end of its window, so that it is
-    dropped exactly when that window has closed. `schema` is the fact's row, with `ts` last.
+    dropped exactly when that window has closed. The state is one packed value: a field of its own
+    for each column would cost a conversion per column and row.
     """
 
-    def __init__(self, schema: str, measures: list[str], window_ms: int, **options):
+    schema = "fact binary, used bigint"
+
+    def __init__(self, measures: list[str], window_ms: int, **options):
         super().__init__(**options)
-        self.schema, self.measures, self.window_ms = schema, measures, window_ms
+        self.measures, self.window_ms = measures, window_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.value.get()
-        last = state.asDict() if state else None
+        last = pickle.loads(state[0]) if state else None
         closed = timerValues.getCurrentWatermarkInMs()
         for row in sorted(rows, key=lambda r: (r.ts, r.seq)):
             fact = {k: v for k, v in row.asDict().items() if k != "et"}
@@ -135,7 +139,7 @@ class Correction(_Keyed):
             if end > closed:
                 yield Row(**given, et=datetime.datetime.fromtimestamp(end / 1000, datetime.timezone.utc))
             last = fact
-        self._store(tuple(last.values()))
+        self._store((bytearray(pickle.dumps(last)), last["ts"]))
 
 
 def _minus(new, old):

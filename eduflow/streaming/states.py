@@ -52,8 +52,7 @@ def correct_repeats(facts: DataFrame, key: str, measures: list[str], window_ms:
                     keep_ms: int | None = None) -> DataFrame:
     """`facts` has typed measures, `ts` in milliseconds, `seq` and the watermarked `et`."""
     rows = facts.select(*[c for c in facts.columns if c not in ("ts", "et")], "ts", "et")
-    state = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "et")
-    processor = P.Correction(state, measures, window_ms, zone=_zone(facts), keep_ms=keep_ms)
+    processor = P.Correction(measures, window_ms, zone=_zone(facts), keep_ms=keep_ms)
     return _through(rows, key, processor, _schema(rows))
 
 
@@ -65,22 +64,29 @@ def _corrected(facts: DataFrame, key: str, columns: list[str], measures: dict, w
 
 
 DAY_MS = P.DAY_MS
+CORRECTED = (summaries.course_orders, summaries.source_orders, summaries.exam_papers)
 ORDER_COLUMNS = ["id", "order_id", "user_id", "course_id", "course_name", "province_id", "sc"]
 
 
 def measured(table: str, facts: DataFrame, dims: Dims | None, window_ms: int, delay: str = windows.DELAY,
              keep_ms: int | None = None) -> DataFrame:
-    """The stream form of `plans.summaries.measured`, with a watermark on `et`."""
+    """The stream form of `plans.summaries.measured`, with a watermark on `et`.
+
+    `keep_ms` is how long a key is remembered after its last row: by default a day for corrections
+    and for ever elsewhere; 0 is for ever.
+    """
     job = summaries.JOBS[table]
+    if keep_ms is None and job.measure in CORRECTED:
+        keep_ms = DAY_MS
     if job.measure in (summaries.course_orders, summaries.source_orders):
         if job.measure is summaries.source_orders:
             facts = filters.sourced_orders(facts)
-        rows = _corrected(facts, "id", ORDER_COLUMNS, projections.order_measures(), window_ms, delay, keep_ms or DAY_MS)
+        rows = _corrected(facts, "id", ORDER_COLUMNS, projections.order_measures(), window_ms, delay, keep_ms)
         if job.measure is summaries.source_orders:
             rows = rows.withColumnRenamed("sc", "source_id")
     elif job.measure is summaries.exam_papers:
         rows = _corrected(facts, "exam_id", ["exam_id", "paper_id", "user_id"], projections.exam_measures(),
-                          window_ms, delay, keep_ms or DAY_MS)
+                          window_ms, delay, keep_ms)
     elif job.measure is summaries.page_views:
         rows = daily_visitors(filters.event_timed(facts, delay=delay), keep_ms)
     elif table == "dws_user_user_login_window":
