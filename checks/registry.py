@@ -25,7 +25,7 @@ SUMMARY_NAMES = {
     1: "source_page_view", 2: "keyword", 3: "home_detail", 4: "user_login", 5: "user_register", 6: "cart_add",
     7: "course_order", 8: "province_order", 9: "source_order", 10: "province_payment", 11: "course_review",
     12: "exam_paper", 13: "exam_question", 14: "video_chapter"}
-REPORT_DATE = "19980603"
+REPORT_DATE = "19990328"
 
 
 def add(name: str, sql: str | None):
