@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import oracles as O
-from checks.inputs import DATABASE, Inputs, arrival, text
+from checks.inputs import DATABASE, Inputs, text
 from eduflow import session
 from eduflow.functions import values as V
 from eduflow.operators import filters, joins, projections, routing, skew, state, windows

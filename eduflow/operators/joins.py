@@ -16,8 +16,8 @@ Dims = Callable[[str], DataFrame]
 ORDER_COLUMNS = ("id course_id course_name order_id user_id final_amount province_id create_time sc ts").split()
 
 
-def _spread(rows: DataFrame, by: str, salt: int) -> tuple[DataFrame, list[str]]:
-    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salt)).cast("int")), ["salt"]
+def _spread(rows: DataFrame, by: str, salt: int) -> DataFrame:
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salt)).cast("int"))
 
 
 def _repeat(rows: DataFrame, salt: int) -> DataFrame:
@@ -36,7 +36,7 @@ def _fact_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     of them; for streams, where no run-time splitting exists.
     """
     if salt > 1:
-        left, _ = _spread(left, spread_by, salt)
+        left = _spread(left, spread_by, salt)
         right = _repeat(right, salt).withColumnRenamed("salt", "right_salt")
     on = F.col(left_key) == F.col(right_key)
     if salt > 1:

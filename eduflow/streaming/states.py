@@ -63,7 +63,6 @@ def _corrected(facts: DataFrame, key: str, columns: list[str], measures: dict, w
     return correct_repeats(filters.event_timed(typed, delay=delay), key, list(measures), window_ms, keep_ms)
 
 
-DAY_MS = P.DAY_MS
 CORRECTED = (summaries.course_orders, summaries.source_orders, summaries.exam_papers)
 ORDER_COLUMNS = ["id", "order_id", "user_id", "course_id", "course_name", "province_id", "sc"]
 
@@ -77,7 +76,7 @@ def measured(table: str, facts: DataFrame, dims: Dims | None, window_ms: int, de
     """
     job = summaries.JOBS[table]
     if keep_ms is None and job.measure in CORRECTED:
-        keep_ms = DAY_MS
+        keep_ms = P.DAY_MS
     if job.measure in (summaries.course_orders, summaries.source_orders):
         if job.measure is summaries.source_orders:
             facts = filters.sourced_orders(facts)

@@ -3,10 +3,8 @@
 from datetime import datetime, timezone
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from eduflow.functions import values as V
-from eduflow.operators import filters, joins, projections, state, windows
+from eduflow.operators import filters, joins, projections, state
 from eduflow.plans import summaries
 
 
