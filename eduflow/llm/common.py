@@ -6,9 +6,12 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,3 +85,22 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n])
     return out
+
+
+def per_document(docs: DataFrame, keep: list[str], fields: str, make) -> DataFrame:
+    """Struct `row` of the columns to keep, and the fields that `make(texts)` gives as one Arrow array each.
+
+    `make` takes the texts of one batch (a list, with None for null) and is called in the tasks.
+    """
+    kept = F.struct(*[docs[c] for c in keep]).alias("row")
+    rows = docs.select(kept, docs["text"].cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(fields).fields])
+    names, kinds = schema.names, to_arrow_schema(schema).types
+
+    def run(batches):
+        for batch in batches:
+            made = make(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(x, kind) for x, kind in zip(made, kinds[1:], strict=True)]], names)
+
+    return rows.mapInArrow(run, schema)

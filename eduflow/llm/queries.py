@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eduflow.llm import chat_format, line_dedup
-from eduflow.llm.common import table
+from eduflow.llm import chat_format, decontaminate, line_dedup, packing, warc_zstd
+from eduflow.llm.common import shared_folder, table
 
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,16 +22,31 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(given.unionByName(extra))
 
 
+def op2_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
+    archives = shared_folder(spark)
+    warc_zstd.write(table(spark, folder, "pages"), archives)
+    return warc_zstd.read(spark, archives).drop("url")
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents")).drop("keep_runs")
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.judged(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(spark, table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_format, op4_line_dedup)}
+    return {q.__name__: q for q in (op1_chat_format, op2_warc_zstd, op4_line_dedup, op7_decontaminate, op8_packing)}
 
 
 WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 UP, LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 ESCAPED = ("replace(replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<|', '<\\|'), '</s>', '<\\/s>'), "
            "'<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')")
 
@@ -45,6 +62,12 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length('<|turn|>') + length({ESCAPED.format('role')}) + 1 + length({ESCAPED.format('text')})
     + length('<|end|>')) AS BIGINT) AS formatted_chars
 FROM given GROUP BY conv_id""",
+    "op2_warc_zstd": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN f USING (digest)""",
     "op4_line_dedup": f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
@@ -55,6 +78,25 @@ m AS (SELECT k.*, coalesce(k.doc_id < s.last, false) AS gone FROM k LEFT JOIN sh
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op7_decontaminate": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, {UP}, {LOW}), {WORD}) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {UP}, {LOW}), {WORD}) AS ws
+  FROM benchmark),
+bw AS (SELECT item, least(len(ws), 10) AS size, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i, ws
+  FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item, size, array_to_string(ws[i : i + size - 1], ' ') AS win FROM bw),
+sizes AS (SELECT DISTINCT size FROM win),
+dw AS (SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS i, ws FROM d, sizes WHERE len(ws) >= size),
+hit AS (SELECT doc_id, i, w.size, item FROM (SELECT doc_id, size, i, array_to_string(ws[i : i + size - 1], ' ') AS win
+  FROM dw) x JOIN win w ON w.win = x.win AND w.size = x.size),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hit)
+  GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
 
 
