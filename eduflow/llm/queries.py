@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eduflow.llm import chat_format, decontaminate, line_dedup, packing, warc_zstd
+from eduflow.llm import chat_format, decontaminate, language_id, line_dedup, near_dedup, packing, warc_zstd
 from eduflow.llm.common import shared_folder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,14 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents")).drop("keep_runs")
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(spark, table(spark, folder, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.judged(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -41,7 +49,8 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_format, op2_warc_zstd, op4_line_dedup, op7_decontaminate, op8_packing)}
+    return {q.__name__: q for q in (op1_chat_format, op2_warc_zstd, op4_line_dedup, op5_near_dedup, op6_language_id,
+                                    op7_decontaminate, op8_packing)}
 
 
 WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
