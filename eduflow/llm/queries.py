@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eduflow.llm import chat_format, decontaminate, language_id, line_dedup, near_dedup, packing, warc_zstd
+from eduflow.llm import (chat_format, decontaminate, language_id, license_scan, line_dedup, near_dedup, packing, repetition,
+                         token_counts, warc_zstd)
 from eduflow.llm.common import shared_folder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +29,10 @@ def op2_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zstd.read(spark, archives).drop("url")
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents")).drop("keep_runs")
 
@@ -48,9 +53,18 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(spark, table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scanned(table(spark, folder, "documents"))
+
+
+def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.judged(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chat_format, op2_warc_zstd, op4_line_dedup, op5_near_dedup, op6_language_id,
-                                    op7_decontaminate, op8_packing)}
+    return {q.__name__: q for q in (
+        op1_chat_format, op2_warc_zstd, op3_token_counts, op4_line_dedup, op5_near_dedup, op6_language_id,
+        op7_decontaminate, op8_packing, op9_license_scan, op10_repetition)}
 
 
 WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
