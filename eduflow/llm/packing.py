@@ -92,7 +92,7 @@ def configurations(counts: dict[int, int], capacity: int, unit: int = UNIT, roun
         step = (need[on] / copies[on]).min()
         used[tuple(copies.tolist())] += step * STEP
         covered[on] += copies[on] / need[on] * step * STEP
-        weight = np.where(real, np.exp(-np.minimum(700, (covered - covered[real].min()) / STEP)) / np.maximum(need, 1), 0)
+        weight = np.where(real, np.exp(-np.clip((covered - covered[real].min()) / STEP, 0, 700)) / np.maximum(need, 1), 0)
     least = covered[real].min()
     if least <= 0:
         return []
