@@ -19,22 +19,18 @@ class Inputs:
         self.folder = folder
         self.live = live
 
-    def table(self, name: str, spread_by: str | None = None) -> DataFrame:
-        """A given table. One of fewer files than cores is spread out before costly row work."""
+    def table(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name in self.live:
             return (self.spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
                     .parquet(self.folder))
-        cores = self.spark.sparkContext.defaultParallelism
-        if spread_by and len(table.inputFiles()) < cores:
-            return table.repartition(cores, spread_by)
         return table
 
     # events
 
     def events(self) -> DataFrame:
         """Events with `k`, the number in their properties, and `ms`, their epoch milliseconds."""
-        return self.table("events", "event_id").select(
+        return self.table("events").select(
             "event_id", "user_id", "event_type", "value",
             F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
@@ -148,7 +144,7 @@ class Inputs:
             course_name=F.concat(F.lit("course "), k.cast("string")))
 
     def detail_changes(self) -> DataFrame:
-        item = self.table("lineitem", "l_orderkey")
+        item = self.table("lineitem")
         return self._change(
             item, "order_detail", F.lit("insert"), seconds("l_shipdate"),
             id=F.concat_ws("-", "l_orderkey", "l_linenumber"), course_id=F.col("l_suppkey"),
@@ -157,7 +153,7 @@ class Inputs:
             create_time=V.date_time_text(seconds("l_shipdate") * 1000))
 
     def info_changes(self) -> DataFrame:
-        orders = self.table("orders", "o_orderkey").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        orders = self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         return self._change(orders, "order_info", F.lit("insert"), seconds("o_orderdate"),
                             id=F.col("o_orderkey"), province_id=F.col("c_nationkey"))
 
@@ -165,14 +161,14 @@ class Inputs:
         """Orders as payments: finished ones are new, open ones called back, others plain updates."""
         status = F.col("o_orderstatus")
         return self._change(
-            self.table("orders", "o_orderkey"), "payment_info", F.when(status == "F", "insert").otherwise("update"),
+            self.table("orders"), "payment_info", F.when(status == "F", "insert").otherwise("update"),
             seconds("o_orderdate"), id=F.concat(F.lit("p"), text("o_orderkey")), order_id=F.col("o_orderkey"),
             create_time=V.date_time_text(seconds("o_orderdate") * 1000), payment_type=F.col("o_orderpriority"),
             callback_time=F.when(status == "O", F.lit("done")))
 
     def question_changes(self) -> DataFrame:
         return self._change(
-            self.table("lineitem", "l_orderkey"), "test_exam_question", F.lit("insert"), seconds("l_shipdate"),
+            self.table("lineitem"), "test_exam_question", F.lit("insert"), seconds("l_shipdate"),
             id=F.concat_ws("-", "l_orderkey", "l_linenumber"), exam_id=F.col("l_orderkey"),
             paper_id=F.col("l_partkey"), question_id=F.col("l_partkey"), user_id=F.col("l_suppkey"),
             is_correct=F.when(F.col("l_returnflag") == "A", "1").otherwise("0"),
@@ -180,7 +176,7 @@ class Inputs:
 
     def exam_changes(self) -> DataFrame:
         return self._change(
-            self.table("orders", "o_orderkey"), "test_exam", F.lit("insert"), seconds("o_orderdate"),
+            self.table("orders"), "test_exam", F.lit("insert"), seconds("o_orderdate"),
             id=F.col("o_orderkey"), score=F.col("o_custkey") % 100, duration_sec=F.col("o_custkey"),
             create_time=V.date_time_text(seconds("o_orderdate") * 1000))
 
@@ -188,8 +184,8 @@ class Inputs:
 
     def order_details(self) -> DataFrame:
         """Line items with the province and source of their order, numbered by arrival."""
-        item = self.table("lineitem", "l_orderkey")
-        infos = (self.table("orders", "o_orderkey").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        item = self.table("lineitem")
+        infos = (self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
                  .select("o_orderkey", "o_custkey", "c_nationkey"))
         sources = self.events().where("event_type = 'purchase'").select(
             F.col("event_id"), (F.col("k") % 30).cast("string").alias("sc"))
@@ -212,7 +208,7 @@ class Inputs:
 
     def exam_questions(self) -> DataFrame:
         """Line items as answers; score and duration differ between the rows of an exam."""
-        return self.table("lineitem", "l_orderkey").select(
+        return self.table("lineitem").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), text("l_orderkey").alias("exam_id"),
             text("l_partkey").alias("paper_id"), text("l_partkey").alias("question_id"),
             text("l_suppkey").alias("user_id"),
@@ -238,7 +234,7 @@ class Inputs:
             return region.select(text("r_regionkey").alias("id"), F.col("r_name").alias("category_name"))
         if name == "dim_test_paper":
             return part.select(text("p_partkey").alias("id"), F.col("p_name").alias("paper_title"),
-                               (F.col("p_partkey") % 97).cast("string").alias("course_id"))
+                               text("p_partkey").alias("course_id"))
         if name == "dim_test_question_info":
             return part.select(text("p_partkey").alias("id"), F.col("p_type").alias("question_txt"))
         if name == "dim_video_info":
@@ -263,5 +259,7 @@ def money(name: str) -> Column:
 
 def arrival() -> Column:
     """A number that orders the line items of one id and day: part, then price, then supplier."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return (F.col("l_partkey") * 20_000_000 + cents) * 10_000 + F.col("l_suppkey") % 10_000
+    part, supplier = F.col("l_partkey").cast("decimal(18,0)"), F.col("l_suppkey").cast("decimal(18,0)")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(18,0)")
+    wide = F.lit("1000000000000").cast("decimal(13,0)")
+    return ((part * wide + cents).cast("decimal(25,0)") * wide + supplier).cast("decimal(38,0)")

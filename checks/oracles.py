@@ -53,7 +53,8 @@ dwd_config AS (
 SECONDS = "epoch_us({}) // 1000000"
 SHIP = SECONDS.format("l_shipdate")
 MADE = SECONDS.format("o_orderdate")
-ARRIVAL = ("(l_partkey * 20000000 + CAST(round(l_extendedprice * 100) AS BIGINT)) * 10000 + l_suppkey % 10000")
+ARRIVAL = ("CAST((CAST(l_partkey AS HUGEINT) * 1000000000000 + CAST(round(l_extendedprice * 100) AS HUGEINT)) "
+           "* 1000000000000 + l_suppkey AS DECIMAL(38,0))")
 SHIP_TEXT = f"strftime(l_shipdate, {FORMAT})"
 MADE_TEXT = f"strftime(o_orderdate, {FORMAT})"
 
@@ -231,7 +232,7 @@ def as_text(column: str) -> str:
 NATION = f"(SELECT {as_text('n_nationkey')} AS dim_id, n_name, {as_text('n_regionkey')} AS category_id FROM nation)"
 REGION = f"(SELECT {as_text('r_regionkey')} AS dim_id, r_name AS category_name FROM region)"
 COURSE = f"(SELECT {as_text('s_suppkey')} AS dim_id, s_name, {as_text('s_nationkey')} AS subject_id FROM supplier)"
-PART = (f"(SELECT {as_text('p_partkey')} AS dim_id, p_name, p_type, {as_text('p_partkey % 97')} AS course_id "
+PART = (f"(SELECT {as_text('p_partkey')} AS dim_id, p_name, p_type, {as_text('p_partkey')} AS course_id "
         "FROM part)")
 COURSE_PATH = f"""LEFT JOIN {COURSE} c ON s.course_id = c.dim_id LEFT JOIN {NATION} u ON c.subject_id = u.dim_id
   LEFT JOIN {REGION} g ON u.category_id = g.dim_id"""

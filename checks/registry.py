@@ -12,7 +12,7 @@ from checks import oracles as O
 from checks.inputs import DATABASE, Inputs, text
 from eduflow import session
 from eduflow.functions import values as V
-from eduflow.operators import filters, joins, projections, routing, skew, state, windows
+from eduflow.operators import filters, joins, projections, routing, state, windows
 from eduflow.plans import facts, keywords, report, summaries
 from eduflow.sources import topics
 from eduflow.streaming import states
@@ -35,16 +35,6 @@ def add(name: str, sql: str | None):
     return keep
 
 
-def item_hot_keys(i: Inputs, column: str) -> dict:
-    """Hot ids, found on the narrow table the facts are made of; a short table cannot have any."""
-    items = i.table("lineitem")
-    if items.count() < skew.HOT_ROWS:
-        return {}
-    ids = items.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), text("l_orderkey").alias("exam_id"))
-    return skew.hot_keys(ids.select(column), column)
-
-
 # inputs of the summaries
 
 def summary_facts(i: Inputs, number: int) -> DataFrame:
@@ -56,23 +46,8 @@ def summary_facts(i: Inputs, number: int) -> DataFrame:
         12: i.exam_questions, 13: i.exam_questions, 14: i.video_plays}[number]()
 
 
-def measured(i: Inputs, number: int) -> DataFrame:
-    """Measured rows; corrections are told their hot keys, so facts are not built twice to find them."""
-    rows = summary_facts(i, number)
-    job = summaries.JOBS[TABLES[number]]
-    if number in (7, 8, 9):
-        rows = job.measure(rows, item_hot_keys(i, "id"))
-    elif number == 12:
-        rows = job.measure(rows, item_hot_keys(i, "exam_id"))
-    elif job.needs_dims:
-        rows = job.measure(rows, i.dim)
-    else:
-        rows = job.measure(rows)
-    return filters.event_timed(rows.where(F.col(job.key).isNotNull()) if job.key else rows)
-
-
 def windowed(i: Inputs, number: int, length: str) -> DataFrame:
-    return windows.summarise(measured(i, number), windows.SUMMARIES[TABLES[number]], length)
+    return summaries.windowed(TABLES[number], summary_facts(i, number), i.dim, length)
 
 
 RATES = {11: windows.review_rates, 12: windows.exam_rates}
@@ -85,7 +60,7 @@ def _summaries() -> None:
             return RATES.get(number, lambda r: r)(rows)
 
         def stored(i: Inputs, number=number) -> DataFrame:
-            return summaries.JOBS[TABLES[number]].finish(windowed(i, number, "1 day"), i.dim)
+            return summaries.summary(TABLES[number], summary_facts(i, number), i.dim, "1 day")
 
         add(f"agg_{number:02d}_{short}", O.summary(number, O.FIVE_SECONDS))(aggregated)
         add(f"dws_{number:02d}_{short}_daily", O.with_dims(number, O.DAY))(stored)
@@ -372,7 +347,7 @@ def province_name(i: Inputs) -> DataFrame:
 
 
 def _item_counts(i: Inputs, column: str, name: str) -> DataFrame:
-    return i.table("lineitem", "l_orderkey").groupBy(text(column).alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    return i.table("lineitem").groupBy(text(column).alias(name)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _item_counts_sql(column: str, name: str) -> str:
@@ -545,17 +520,17 @@ def returning_devices(i: Inputs) -> DataFrame:
 
 
 @add("st_04_delta_order",
-     f"WITH {O.FIXED} SELECT id, order_id, user_id, course_id, province_id, sc, ts, seq, final_amount, 1 AS repeats "
+     f"WITH {O.FIXED} SELECT id, order_id, user_id, course_id, province_id, sc, ts, seq, final_amount "
      "FROM fixed")
 def delta_order(i: Inputs) -> DataFrame:
-    fixed = summaries.corrected_orders(i.order_details(), item_hot_keys(i, "id"))
+    fixed = summaries.corrected_orders(i.order_details())
     return fixed.drop("course_name")
 
 
 @add("st_04_delta_exam", f"""WITH {O.FIXED_EXAM} SELECT exam_id, paper_id, user_id, ts * 1000 AS ts, seq, exam_score,
-  duration_sec, 1 AS repeats FROM fixed""")
+  duration_sec FROM fixed""")
 def delta_exam(i: Inputs) -> DataFrame:
-    return summaries.exam_papers(i.exam_questions(), item_hot_keys(i, "exam_id"))
+    return summaries.exam_papers(i.exam_questions())
 
 
 # scalar functions and words
@@ -599,7 +574,7 @@ def functions(i: Inputs) -> DataFrame:
   SELECT doc_id, unnest(list_distinct(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '))) AS keyword
   FROM documents) WHERE keyword <> '' GROUP BY keyword""")
 def keyword_split(i: Inputs) -> DataFrame:
-    return keywords.word_counts(i.table("documents", "doc_id"), "text")
+    return keywords.word_counts(i.table("documents"), "text")
 
 
 # the same rules as streams over the tables, run until the tables are read

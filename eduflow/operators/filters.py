@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from eduflow import schemas
 from eduflow.functions import values as V
 
+# Rows of one transaction that can be told apart.
+STEPS = 1 << 24
 KEPT_TYPES = ["insert", "update", "bootstrap-insert"]
 
 
@@ -19,14 +21,26 @@ def as_facts(lines: DataFrame, schema: T.StructType) -> DataFrame:
     numbers = {f.name for f in schema if isinstance(f.dataType, T.NumericType)}
     loose = T.StructType([T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in schema])
     # a generator holds later filters above it, so that a line is parsed once
-    parsed = lines.select(F.inline(F.array(F.from_json("value", loose))))
-    return parsed.select(*[
+    place = ["seq"] if "seq" in lines.columns and "seq" not in schema.fieldNames() else []
+    parsed = lines.select(*place, F.inline(F.array(F.from_json("value", loose))))
+    return parsed.select(*place, *[
         (F.col(f.name).try_cast(f.dataType) if f.name in numbers else F.col(f.name)).alias(f.name) for f in schema])
 
 
 def parse_changes(lines: DataFrame) -> DataFrame:
-    """Change-log rows from JSON text."""
-    return as_facts(lines, schemas.CHANGE_LOG)
+    """Change-log rows from JSON text, with `seq`, their order of arrival.
+
+    That is the place in the topic where the source gives one, else the transaction and the place
+    in it that the line itself carries. A row with neither comes before all others of its second.
+    """
+    rows = as_facts(lines, schemas.CHANGE_LOG)
+    own = F.col("xid") * STEPS + F.coalesce("xoffset", F.lit(0))
+    place = [F.col("seq")] if "seq" in rows.columns else []
+    return rows.withColumn("seq", F.coalesce(*place, own, F.lit(-1)).cast("bigint")).drop("xid", "xoffset")
+
+
+def _arrival(changes: DataFrame) -> list[str]:
+    return ["seq"] if "seq" in changes.columns else []
 
 
 def clean_changes(changes: DataFrame, database: str) -> DataFrame:
@@ -57,7 +71,7 @@ def cart_adds(changes: DataFrame, database: str) -> DataFrame:
 
 def order_details(changes: DataFrame, database: str) -> DataFrame:
     return changes.where(_inserted(database, "order_detail")).select(
-        *_fields("id course_id course_name order_id user_id final_amount create_time"), "ts")
+        *_fields("id course_id course_name order_id user_id final_amount create_time"), "ts", *_arrival(changes))
 
 
 def order_infos(changes: DataFrame, database: str) -> DataFrame:
@@ -80,7 +94,8 @@ def payments(changes: DataFrame, database: str) -> DataFrame:
 
 def exam_questions(changes: DataFrame, database: str) -> DataFrame:
     return changes.where(_inserted(database, "test_exam_question")).select(
-        *_fields("id exam_id paper_id question_id user_id is_correct score create_time"), "ts")
+        *_fields("id exam_id paper_id question_id user_id is_correct score create_time"), "ts",
+        *_arrival(changes))
 
 
 def exams(changes: DataFrame, database: str) -> DataFrame:

@@ -68,7 +68,12 @@ def orders_with_source(details: DataFrame, sources: DataFrame, near=None, salt:
 def order_detail_facts(details: DataFrame, infos: DataFrame, sources: DataFrame,
                        info_near=None, source_near=None, salt: int = 1) -> DataFrame:
     both = orders_with_source(orders_with_province(details, infos, info_near, salt), sources, source_near, salt)
-    return both.select(*ORDER_COLUMNS)
+    return both.select(*ORDER_COLUMNS, *_place(both))
+
+
+def _place(rows: DataFrame) -> list[str]:
+    """Order of arrival, where rows carry it."""
+    return ["seq"] if "seq" in rows.columns else []
 
 
 def payment_facts(payments: DataFrame, details: DataFrame, near=None, salt: int = 1) -> DataFrame:
@@ -92,7 +97,7 @@ def exam_question_facts(questions: DataFrame, exams: DataFrame, near=None, salt:
     left = _timed(questions, "l_et", near).withColumnRenamed("score", "question_score")
     joined = _fact_join(left, right, "exam_id", "exam", "inner", near, salt, "id")
     return joined.select("id", "exam_id", "paper_id", "question_id", "user_id", "is_correct",
-                         "question_score", "exam_score", "duration_sec", "create_time", "ts")
+                         "question_score", "exam_score", "duration_sec", "create_time", "ts", *_place(questions))
 
 
 # dimensions

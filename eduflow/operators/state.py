@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eduflow.functions import values as V
-from eduflow.operators import skew
+from eduflow.operators import lookback
 
 RETURN_DAYS = 7
 
@@ -95,34 +95,17 @@ def daily_logins(log: DataFrame) -> DataFrame:
     return views.unionByName(firsts)
 
 
-def correct_repeats(facts: DataFrame, key: str, order: list[str], measures: dict[str, Column],
-                    hot: dict | None = None) -> DataFrame:
+def correct_repeats(facts: DataFrame, key: str, order: list[str], measures: dict[str, Column]) -> DataFrame:
     """Turn repeats of a fact into corrections.
 
     The first row of a key stands as it is. A later row gives the row before it again, with each
-    measure set to new minus old. `repeats` is the number of equal corrections a row stands for;
-    it differs from 1 only for copies of one row under a hot key.
+    measure set to new minus old.
     """
     plain = [c for c in facts.columns if c not in measures]
     typed = facts.select(*plain, *[m.alias(name) for name, m in measures.items()])
-    hot = skew.hot_keys(typed, key) if hot is None else hot
-    paired = skew.with_previous(typed, key, order, hot)
-    one = F.lit(1).cast("bigint")
-
-    def old(name):
-        return F.col("prev")[name]
-
-    first = F.col("prev").isNull()
-    head = paired.select(
-        *[F.when(first, F.col(c)).otherwise(old(c)).alias(c) for c in plain],
-        *[F.when(first, F.col(m)).otherwise(F.col(m) - old(m)).cast(typed.schema[m].dataType).alias(m)
-          for m in measures],
-        one.alias("repeats"),
-    )
-    if hot == {}:
-        return head
-    copies = paired.where(F.col("copies") > 1).select(
-        *plain, *[F.lit(0).cast(typed.schema[m].dataType).alias(m) for m in measures],
-        (F.col("copies") - 1).alias("repeats"),
-    )
-    return head.unionByName(copies)
+    paired = lookback.with_previous(typed, key, order)
+    first, old = F.col("prev").isNull(), F.col("prev")
+    return paired.select(
+        *[F.when(first, F.col(c)).otherwise(old[c]).alias(c) for c in plain],
+        *[F.when(first, F.col(m)).otherwise(F.col(m) - old[m]).cast(typed.schema[m].dataType).alias(m)
+          for m in measures])

@@ -23,10 +23,10 @@ def _millis(rows: DataFrame) -> DataFrame:
 
 
 def ordered(facts: DataFrame) -> DataFrame:
-    """Facts carry `seq` where the source numbers its rows; else ties in `ts` are cut by content."""
-    if "seq" in facts.columns:
-        return facts
-    return facts.withColumn("seq", F.xxhash64(*[c for c in facts.columns if c != "ts"]))
+    """Facts whose rows of one second can be told apart: `seq` is their place in the source."""
+    if "seq" not in facts.columns:
+        raise ValueError("corrections need `seq`, the place of each fact in its source")
+    return facts
 
 
 # measured rows
@@ -48,28 +48,28 @@ def carts(facts: DataFrame) -> DataFrame:
     return _millis(projections.cart_measures(facts))
 
 
-def corrected_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
+def corrected_orders(facts: DataFrame) -> DataFrame:
     kept = ordered(facts).select("id", "order_id", "user_id", "course_id", "course_name", "province_id",
                                   "sc", "final_amount", "ts", "seq")
-    return state.correct_repeats(kept, "id", ORDER_ARRIVAL, projections.order_measures(), hot)
+    return state.correct_repeats(kept, "id", ORDER_ARRIVAL, projections.order_measures())
 
 
-def course_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
-    return _millis(corrected_orders(facts, hot))
+def course_orders(facts: DataFrame) -> DataFrame:
+    return _millis(corrected_orders(facts))
 
 
-def source_orders(facts: DataFrame, hot: dict | None = None) -> DataFrame:
+def source_orders(facts: DataFrame) -> DataFrame:
     # the filter comes first: a row without a source takes no part in correction
-    return _millis(corrected_orders(filters.sourced_orders(facts), hot)).withColumnRenamed("sc", "source_id")
+    return _millis(corrected_orders(filters.sourced_orders(facts))).withColumnRenamed("sc", "source_id")
 
 
 def payments(facts: DataFrame) -> DataFrame:
     return _millis(projections.payment_measures(facts))
 
 
-def exam_papers(facts: DataFrame, hot: dict | None = None) -> DataFrame:
+def exam_papers(facts: DataFrame) -> DataFrame:
     kept = ordered(facts).select("exam_id", "paper_id", "user_id", "exam_score", "duration_sec", "ts", "seq")
-    return _millis(state.correct_repeats(kept, "exam_id", ORDER_ARRIVAL, projections.exam_measures(), hot))
+    return _millis(state.correct_repeats(kept, "exam_id", ORDER_ARRIVAL, projections.exam_measures()))
 
 
 def exam_questions(facts: DataFrame) -> DataFrame:

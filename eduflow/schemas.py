@@ -18,7 +18,8 @@ RAW_LOG = _row(
     start=_TEXT_MAP, page=_TEXT_MAP, err=_TEXT_MAP, appVideo=_TEXT_MAP,
     actions=T.ArrayType(_TEXT_MAP), displays=T.ArrayType(_TEXT_MAP),
 )
-CHANGE_LOG = _row("database table type", data=_TEXT_MAP, old=_TEXT_MAP, ts=T.LongType())
+CHANGE_LOG = _row("database table type", data=_TEXT_MAP, old=_TEXT_MAP, ts=T.LongType(),
+                  xid=T.LongType(), xoffset=T.LongType())
 
 CONFIG = _row("source_table source_type sink_table sink_type sink_columns sink_pk sink_extend")
 CONFIG_CHANGE = _row("op", before=CONFIG, after=CONFIG, ts_ms=T.LongType())
@@ -27,11 +28,11 @@ PAGE_LOG = _row("mid uid sc is_new page_id last_page_id item item_type",
                 during_time=T.LongType(), ts=T.LongType())
 CART_ADD = _row("id user_id course_id course_name", ts=T.LongType())
 ORDER_DETAIL = _row("id course_id course_name order_id user_id final_amount province_id create_time sc",
-                    ts=T.LongType())
+                    ts=T.LongType(), seq=T.LongType())
 PAY_DETAIL = _row("id order_id create_time payment_type course_id course_name province_id user_id "
                   "order_detail_amount sc", ts=T.LongType())
 EXAM_QUESTION = _row("id exam_id paper_id question_id user_id is_correct question_score exam_score "
-                     "duration_sec create_time", ts=T.LongType())
+                     "duration_sec create_time", ts=T.LongType(), seq=T.LongType())
 USER_REGISTER = _row("create_time")
 COMMENT = _row("course_id user_id review_stars create_time")
 VIDEO_PLAY = _row("video_id sid user_id", play_sec=T.LongType(), ts=T.LongType())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 # Runtime settings; each may be changed on a running session.
@@ -45,6 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def checkpoint_path(spark: SparkSession, query: str) -> str:
-    """One checkpoint folder per query name, kept between runs."""
-    return f"{shared_folder(spark)}/eduflow/checkpoints/{query}"
+def checkpoint_path(spark: SparkSession, owner: str, query: str) -> str:
+    """One checkpoint folder per owner and query name, kept between runs.
+
+    The owner names all that tells one set of queries from another, such as folder and database: queries of
+    two owners must never go on from each other's place.
+    """
+    return f"{shared_folder(spark)}/eduflow/checkpoints/{owner_print(owner)}/{query}"
+
+
+def owner_print(owner: str) -> str:
+    return hashlib.sha256(owner.encode()).hexdigest()[:16]

@@ -12,19 +12,22 @@ from eduflow import schemas
 from eduflow.operators import filters, projections, routing
 
 # Where a topic is read from when a query starts without a checkpoint.
+PER_PARTITION = 1 << 48
 KAFKA = {"startingOffsets": "latest", "kafka.isolation.level": "read_committed"}
 
 
 def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
                streaming: bool = True, group: str | None = None, **options: str) -> DataFrame:
-    """One text column `value`; empty messages are left out."""
+    """A text column `value`, and from Kafka `seq`, a message's place in its topic; empty messages are left out."""
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         kafka = dict(KAFKA) if streaming else {"kafka.isolation.level": "read_committed"}
         if group:
             kafka["kafka.group.id"] = group
         loaded = reader.format("kafka").options(**{**kafka, **options, "subscribe": topic}).load()
-        return loaded.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull())
+        place = F.col("partition").cast("bigint") * PER_PARTITION + F.col("offset")
+        return loaded.select(F.col("value").cast("string").alias("value"), place.alias("seq")).where(
+            F.col("value").isNotNull())
     loaded = reader.format(fmt).schema("value string, topic string").options(**options).load(path)
     return loaded.where((F.col("topic") == topic) & F.col("value").isNotNull()).select("value")
 

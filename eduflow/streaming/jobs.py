@@ -19,7 +19,6 @@ from eduflow.streaming import sinks, states
 HALF_HOUR = "30 minutes"
 SOURCE_NEAR = (HALF_HOUR, "5 seconds")
 INFO_NEAR = (HALF_HOUR, HALF_HOUR)
-DAY_NEAR = ("1 day", "1 day")
 
 
 @dataclass
@@ -60,9 +59,17 @@ class Warehouse:
 
     OWN = ("dwd_trade_cart_add", "dwd_trade_order_detail", "dwd_trade_pay_suc_detail", "dwd_exam_exam_question")
 
+    @property
+    def owner(self) -> str:
+        """What tells this warehouse's queries from another's."""
+        return f"{self.folder}|{self.database}|{self.dim_database}"
+
+    def _started(self, writer, name: str) -> StreamingQuery:
+        return sinks.started(writer, self.spark, self.owner, name, self.every)
+
     def _publish(self, rows: DataFrame, name: str) -> StreamingQuery:
         path = f"{self.folder}/topics/{name}"
-        return sinks.write_topics(rows, name, self.fmt, path, self.every, **self.sink_options)
+        return sinks.write_topics(rows, self.owner, name, self.fmt, path, self.every, **self.sink_options)
 
     def changes(self) -> DataFrame:
         return filters.parse_changes(self.lines(schemas.CHANGE_LOG_TOPIC))
@@ -85,21 +92,24 @@ class Warehouse:
         rows = filters.cart_adds(self.changes(), self.database)
         return self._publish(sinks.topic_rows(rows, "dwd_trade_cart_add"), "dwd_trade_cart_add")
 
-    def order_details(self) -> StreamingQuery:
+    def order_details(self, info_near=INFO_NEAR, source_near=SOURCE_NEAR) -> StreamingQuery:
+        """The times bound what a join remembers; the outer join needs such a bound."""
         rows = joins.order_detail_facts(
             self._timed(filters.order_details(self.changes(), self.database)),
             self._timed(filters.order_infos(self.changes(), self.database)),
             self._timed(filters.order_sources(self.pages()), "ms"),
-            INFO_NEAR, SOURCE_NEAR, self.salt)
+            info_near, source_near, self.salt)
         return self._publish(sinks.topic_rows(rows, "dwd_trade_order_detail", "id"), "dwd_trade_order_detail")
 
-    def payments(self, near=DAY_NEAR) -> StreamingQuery:
+    def payments(self, near: tuple[str, str] | None = None) -> StreamingQuery:
+        """Payments meet their details however late. With `near`, partners further apart do not meet, and what
+        is forgotten shows as removed state rows in the query's progress."""
         details = topics.facts(self.lines("dwd_trade_order_detail"), "dwd_trade_order_detail")
         rows = joins.payment_facts(
             self._timed(filters.payments(self.changes(), self.database)), self._timed(details), near, self.salt)
         return self._publish(sinks.topic_rows(rows, "dwd_trade_pay_suc_detail"), "dwd_trade_pay_suc_detail")
 
-    def exam_questions(self, near=DAY_NEAR) -> StreamingQuery:
+    def exam_questions(self, near: tuple[str, str] | None = None) -> StreamingQuery:
         rows = joins.exam_question_facts(
             self._timed(filters.exam_questions(self.changes(), self.database)),
             self._timed(filters.exams(self.changes(), self.database)), near, self.salt)
@@ -122,12 +132,14 @@ class Warehouse:
     def config(self, keep_rows: bool = False) -> StreamingQuery:
         """Keep the config changes as a table and make or drop dimension tables as they say."""
         def apply(batch: DataFrame, number: int) -> None:
+            # A table is there before its config row is seen, and is gone only after its row is.
+            self.dims.apply(batch, keep_rows, number)
             (batch.withColumn("batch", F.lit(number)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.config_path))
-            self.dims.apply(batch, keep_rows)
+            self.dims.drop_gone(batch)
 
         rows = topics.config_log(self.lines("table_process"))
-        return sinks.started(rows.writeStream.foreachBatch(apply), self.spark, "config", self.every)
+        return self._started(rows.writeStream.foreachBatch(apply), "config")
 
     def current_config(self, sink_type: str) -> DataFrame:
         """Config in force now; read again for each micro-batch. Start `config` or `preload` first."""
@@ -139,7 +151,7 @@ class Warehouse:
             self.dims.upsert_routed(routing.route_dims(batch, self.current_config("dim")), number)
 
         rows = filters.clean_changes(self.changes(), self.database)
-        return sinks.started(rows.writeStream.foreachBatch(upsert), self.spark, "dim_rows", self.every)
+        return self._started(rows.writeStream.foreachBatch(upsert), "dim_rows")
 
     def routed(self) -> StreamingQuery:
         """Change rows that are facts of their own to the topics the config names.
@@ -157,7 +169,7 @@ class Warehouse:
                  .format(self.fmt).save(f"{self.folder}/topics/dwd_routed"))
 
         rows = filters.clean_changes(self.changes(), self.database)
-        return sinks.started(rows.writeStream.foreachBatch(publish), self.spark, "dwd_routed", self.every)
+        return self._started(rows.writeStream.foreachBatch(publish), "dwd_routed")
 
     # window tables
 
@@ -185,7 +197,7 @@ class Warehouse:
 
         rows = states.windowed(table, self.facts(job.topic), self.dims.read, self.window_seconds,
                                self.delay, keep_ms)
-        return sinks.started(rows.writeStream.foreachBatch(store), self.spark, table, self.every)
+        return self._started(rows.writeStream.foreachBatch(store), table)
 
     def windows(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.window_path(table))

@@ -132,7 +132,7 @@ class Correction(_Keyed):
         state = self.value.get()
         last = pickle.loads(state[0]) if state else None
         closed = timerValues.getCurrentWatermarkInMs()
-        for row in sorted(rows, key=lambda r: (r.ts, r.seq)):
+        for row in sorted(rows, key=lambda r: (r.ts, -1 if r.seq is None else r.seq)):
             fact = {k: v for k, v in row.asDict().items() if k != "et"}
             given = fact if last is None else {**last, **{m: _minus(fact[m], last[m]) for m in self.measures}}
             end = _window_last(given["ts"], self.window_ms)

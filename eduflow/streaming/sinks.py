@@ -17,9 +17,10 @@ from eduflow.operators import routing
 JDBC = {"batchsize": "1048576"}
 
 
-def started(writer: DataStreamWriter, spark: SparkSession, name: str, every: str | None) -> StreamingQuery:
+def started(writer: DataStreamWriter, spark: SparkSession, owner: str, name: str, every: str | None) -> StreamingQuery:
     """Start under a name with its own checkpoint; without `every`, take what is there and stop."""
-    writer = writer.queryName(name).option("checkpointLocation", session.checkpoint_path(spark, name))
+    writer = writer.queryName(f"{name}-{session.owner_print(owner)}").option(
+        "checkpointLocation", session.checkpoint_path(spark, owner, name))
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
@@ -34,7 +35,13 @@ def topic_rows(rows: DataFrame, topic: str | None = None, key: str | None = None
                        value.alias("value"))
 
 
-def write_topics(rows: DataFrame, name: str, fmt: str = "kafka", path: str | None = None,
+def file_rows(rows: DataFrame, fmt: str) -> DataFrame:
+    """What a file topic holds: a text file has room for the value only, other formats keep the key."""
+    kept = ["value", "topic"] if fmt == "text" or "key" not in rows.columns else ["key", "value", "topic"]
+    return rows.select(*kept)
+
+
+def write_topics(rows: DataFrame, owner: str, name: str, fmt: str = "kafka", path: str | None = None,
                  every: str | None = "3 seconds", **options: str) -> StreamingQuery:
     """`rows` are (topic, value) or (topic, key, value).
 
@@ -43,10 +50,9 @@ def write_topics(rows: DataFrame, name: str, fmt: str = "kafka", path: str | Non
     """
     spark = rows.sparkSession
     if fmt == "kafka":
-        return started(rows.writeStream.format("kafka").options(**options), spark, name, every)
-    writer = (rows.select("value", "topic").writeStream.format(fmt).partitionBy("topic")
-              .option("path", path).options(**options))
-    return started(writer, spark, name, every)
+        return started(rows.writeStream.format("kafka").options(**options), spark, owner, name, every)
+    writer = file_rows(rows, fmt).writeStream.format(fmt).partitionBy("topic").option("path", path).options(**options)
+    return started(writer, spark, owner, name, every)
 
 
 # window tables
@@ -80,12 +86,13 @@ def store_windows_jdbc(rows: DataFrame, table: str, retries: int = 3, **options:
 class DimStore:
     """Dimension tables in the catalog: one string column per field, and the batch each row came in.
 
-    A batch adds one partition. Readers take the last row of each primary key. `compact` folds old
-    partitions so that a table stays about as large as its keys.
+    A batch adds one partition. Readers take the last row of each primary key. After every
+    `fold_every` batches old partitions are folded, so that a table stays about as large as its
+    keys.
     """
 
-    def __init__(self, spark: SparkSession, database: str = "dims"):
-        self.spark, self.database = spark, database
+    def __init__(self, spark: SparkSession, database: str = "dims", fold_every: int = 20):
+        self.spark, self.database, self.fold_every = spark, database, fold_every
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
     def name(self, table: str) -> str:
@@ -94,10 +101,13 @@ class DimStore:
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.database}.{table.lower()}")
 
-    def create(self, table: str, columns: str, key: str | None, extend: str | None = None) -> None:
+    def create(self, table: str, columns: str, key: str | None, extend: str | None = None,
+               applied: int | None = None) -> None:
+        """`applied` is the batch of config changes that made the table."""
         fields = ", ".join(f"`{c.strip().lower()}` STRING" for c in columns.split(","))
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in
-                               (("pk", (key or "id").lower()), ("extend", (extend or "").replace("'", ""))))
+                               (("pk", (key or "id").lower()), ("extend", (extend or "").replace("'", "")),
+                                ("applied", -1 if applied is None else applied)))
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({fields}, _seq BIGINT, _ts BIGINT, _came BIGINT, "
             f"_batch BIGINT) USING parquet PARTITIONED BY (_batch) TBLPROPERTIES ({properties})")
@@ -105,33 +115,47 @@ class DimStore:
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
-    def apply(self, changes: DataFrame, keep_rows: bool = False) -> None:
+    def apply(self, changes: DataFrame, keep_rows: bool = False, batch: int | None = None) -> None:
         """Follow config changes: create, drop, or drop and create again on an update.
 
         The rows are one micro-batch of a table that a person edits; they are applied in order.
-        With `keep_rows` an update that leaves the columns as they are keeps the table.
+        With `keep_rows` an update that leaves the columns as they are keeps the table. A table
+        that this `batch` or a later one has made stays: the batch is running again.
         """
         for row in changes.where(F.col("sink_type") == "dim").orderBy("ts_ms").toLocalIterator():
+            if row.op == "u" and batch is not None and self.exists(row.sink_table) and int(
+                    self.property(row.sink_table, "applied", "-1")) >= batch:
+                continue
             same = keep_rows and self.exists(row.sink_table) and self.columns(row.sink_table) == [
                 c.strip().lower() for c in row.sink_columns.split(",")]
             if row.op in ("d", "u") and not (row.op == "u" and same):
                 self.drop(row.sink_table)
             if row.op != "d":
-                self.create(row.sink_table, row.sink_columns, row.sink_pk, row.sink_extend)
+                self.create(row.sink_table, row.sink_columns, row.sink_pk, row.sink_extend, batch)
+
+    def drop_gone(self, changes: DataFrame) -> None:
+        """Drop the tables whose last change in these is a delete."""
+        last = routing.latest(changes.where(F.col("sink_type") == "dim"), ["sink_table"], ["ts_ms"])
+        for (table,) in last.where("op = 'd'").select("sink_table").toLocalIterator():
+            self.drop(table)
+
+    def property(self, table: str, name: str, default: str) -> str:
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(F.col("key") == name).first()
+        return shown.value if shown else default
 
     def columns(self, table: str) -> list[str]:
         return [c for c in self.spark.table(self.name(table)).columns if not c.startswith("_")]
 
     def keys(self, table: str) -> list[str]:
-        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('pk')").first()
-        return [k.strip() for k in shown.value.split(",")]
+        return [k.strip() for k in self.property(table, "pk", "id").split(",")]
 
     def upsert(self, rows: DataFrame, batch: int, table: str) -> None:
-        """`rows` have the map `data` and `ts`; `seq` numbers rows of equal `ts` where given."""
-        seq = F.col("seq") if "seq" in rows.columns else F.xxhash64(F.to_json("data"))
+        """`rows` have the map `data`, `ts`, and `seq`, their place in the source."""
+        if "seq" not in rows.columns:
+            raise ValueError("rows of a dimension need `seq`, their place in the source")
         data = F.transform_keys("data", lambda key, _: F.lower(key))
         fields = [data[c].alias(c) for c in self.columns(table)]
-        (rows.select(*fields, seq.cast("bigint").alias("_seq"), F.col("ts").alias("_ts"),
+        (rows.select(*fields, F.col("seq").cast("bigint").alias("_seq"), F.col("ts").alias("_ts"),
                      F.lit(batch).cast("bigint").alias("_came"), F.lit(batch).cast("bigint").alias("_batch"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name(table)))
 
@@ -139,9 +163,13 @@ class DimStore:
         """One micro-batch with rows of several tables, as `routing.route_dims` gives them."""
         rows = rows.persist()
         try:
-            for (table,) in rows.select("sink_table").distinct().toLocalIterator():
-                if self.exists(table):
-                    self.upsert(rows.where(F.col("sink_table") == table), batch, table)
+            sinks = rows.select("sink_table", "sink_columns", "sink_pk").distinct()
+            for table, columns, key in sinks.toLocalIterator():
+                if not self.exists(table):  # its config row is stored, so it is to be there
+                    self.create(table, columns, key)
+                self.upsert(rows.where(F.col("sink_table") == table), batch, table)
+                if batch % self.fold_every == self.fold_every - 1:
+                    self.compact(table)
         finally:
             rows.unpersist()
 
@@ -159,17 +187,22 @@ class DimStore:
         return routing.latest(rows, ["id"], ["_came", "_ts", "_seq"]).select(*self.columns(table))
 
     def compact(self, table: str) -> None:
-        """Keep the last row of each key, in one partition numbered below zero.
+        """Write the last row of each key to one partition numbered below zero.
 
-        Rows keep the number of the batch they came in, so a reader between the two steps gets the
-        same rows.
+        What it stands for goes at the next folding only, so a reader that has begun before finds
+        its files. Rows keep the number of the batch they came in, so old and folded rows together
+        give the same result.
         """
         parts = [int(r.partition.split("=")[1]) for r in
                  self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").toLocalIterator()]
         if len(parts) < 2:
             return
+        folded = int(self.property(table, "folded", "-1"))
+        kept = min(parts) if min(parts) < 0 else None
         target = min(0, *parts) - 1
         self._latest(table).withColumn("_batch", F.lit(target).cast("bigint")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").insertInto(self.name(table))
         for part in parts:
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (_batch = {part})")
+            if 0 <= part <= folded or part < 0 and part != kept:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (_batch = {part})")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('folded' = '{max(parts)}')")

@@ -24,7 +24,8 @@ def _zone(df: DataFrame):
 
 
 def _through(rows: DataFrame, key: str, processor, schema, timed: bool = True) -> DataFrame:
-    return rows.where(F.col(key).isNotNull()).groupBy(key).transformWithState(
+    rows = filters.with_key(rows.where(F.col(key).isNotNull()), "ts", f"{key}_without_time")
+    return rows.groupBy(key).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append",
         timeMode="EventTime" if timed else "None", **({"eventTimeColumnName": "et"} if timed else {}))
 
@@ -63,7 +64,6 @@ def _corrected(facts: DataFrame, key: str, columns: list[str], measures: dict, w
     return correct_repeats(filters.event_timed(typed, delay=delay), key, list(measures), window_ms, keep_ms)
 
 
-CORRECTED = (summaries.course_orders, summaries.source_orders, summaries.exam_papers)
 ORDER_COLUMNS = ["id", "order_id", "user_id", "course_id", "course_name", "province_id", "sc"]
 
 
@@ -71,12 +71,10 @@ def measured(table: str, facts: DataFrame, dims: Dims | None, window_ms: int, de
              keep_ms: int | None = None) -> DataFrame:
     """The stream form of `plans.summaries.measured`, with a watermark on `et`.
 
-    `keep_ms` is how long a key is remembered after its last row: by default a day for corrections
-    and for ever elsewhere; 0 is for ever.
+    A key is remembered for ever, or with `keep_ms` for so long after its last row; keys that are
+    then forgotten show as removed state rows in the query's progress.
     """
     job = summaries.JOBS[table]
-    if keep_ms is None and job.measure in CORRECTED:
-        keep_ms = P.DAY_MS
     if job.measure in (summaries.course_orders, summaries.source_orders):
         if job.measure is summaries.source_orders:
             facts = filters.sourced_orders(facts)

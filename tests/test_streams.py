@@ -29,9 +29,9 @@ def result(spark, rows, folder):
     return spark.read.schema(rows.schema).parquet(str(folder / "rows")).collect()
 
 
-def order(at, amount, ident="d", course="c"):
+def order(at, amount, ident="d", course="c", seq=0):
     return {"id": ident, "order_id": "o" + ident, "user_id": "u", "course_id": course, "course_name": "n",
-            "province_id": "p", "sc": "s", "final_amount": str(amount), "ts": T0 + at}
+            "province_id": "p", "sc": "s", "final_amount": str(amount), "ts": T0 + at, "seq": seq}
 
 
 def orders(spark, tmp_path, keep_ms, *groups):
@@ -60,6 +60,26 @@ def test_a_key_is_forgotten(spark, tmp_path):
     assert got == [("00:00:00", "c", 1, 10.0), ("00:01:40", "c", 3, 7.0), ("00:03:20", "z", 1, 0.0)]
 
 
+def test_rows_of_one_second_keep_their_order(spark, tmp_path):
+    got = orders(spark, tmp_path, None,
+                 [order(1, a, f"d{k}", f"c{k}", seq) for k in range(8) for a, seq in ((12, 2), (10, 1), (15, 3))],
+                 [order(60, 0, "w", "w")], [order(200, 0, "z", "z")], [order(300, 0, "y", "z")])
+    assert [(c, a) for _, c, _, a in got][:8] == [(f"c{k}", 15.0) for k in range(8)]
+
+
+def test_a_fact_sent_again_a_day_later_adds_nothing(spark, tmp_path):
+    got = orders(spark, tmp_path, None, [order(1, 10)], [order(90_000, 10)], [order(90_100, 10)],
+                 [order(200_000, 0, "z", "z")], [order(300_000, 0, "y", "z")])
+    assert sum(a for _, c, _, a in got if c == "c") == 10.0
+
+
+def test_a_row_without_a_time_does_no_harm(spark, tmp_path):
+    stream = batches(spark, tmp_path / "in", schemas.PAGE_LOG, [page(1), {"mid": "m", "uid": "u"}], [page(2)],
+                     [page(200, mid="z")], [page(300, mid="z")])
+    rows = result(spark, states.windowed("dws_traffic_source_page_view_window", stream), tmp_path)
+    assert sorted((r.uv_ct, r.pv_ct) for r in rows)[-1] == (1, 2)
+
+
 def page(at, mid="m", uid="u", **more):
     return {"mid": mid, "uid": uid, "sc": "1", "is_new": "1", "ts": (T0 + at) * 1000, **more}
 

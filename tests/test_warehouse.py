@@ -7,6 +7,8 @@ import pytest
 from eduflow import schemas
 from eduflow.operators import windows
 from eduflow.plans import report
+from eduflow.operators import filters
+from eduflow.streaming import sinks
 from eduflow.streaming.jobs import Warehouse
 
 T0 = 1_704_067_200          # 2024-01-01 00:00:00
@@ -231,7 +233,7 @@ def test_config_update_drops_rows(warehouse):
         return make([(op, 1, "t", None, "DIM_T", "dim", sink_columns, "id", "salt=1")], columns)
 
     store.apply(changed("c", "id,a"))
-    data = make([({"id": "1", "A": "x"}, 5)], "data map<string,string>, ts bigint")
+    data = make([({"id": "1", "A": "x"}, 5, 0)], "data map<string,string>, ts bigint, seq bigint")
     store.upsert(data, 0, "dim_t")
     store.apply(changed("c", "id,a"))
     assert store.read("dim_t").count() == 1
@@ -259,8 +261,75 @@ def test_dim_upsert_is_idempotent_and_compacts(warehouse):
     assert [tuple(r) for r in store.row("dim_u", "2").collect()] == [("2", "d")]
     assert store.row("dim_u", "3").count() == 0
     store.compact("dim_u")
-    assert warehouse.spark.table("dims_e2e.dim_u").count() == 2
+    assert warehouse.spark.table("dims_e2e.dim_u").count() == 6     # a reader that has begun finds its files
     assert sorted(tuple(r) for r in store.read("dim_u").collect()) == want
     store.upsert(make([({"id": "1", "name": "e"}, 0, 0)], schema), 2, "dim_u")
+    store.upsert(second, 1, "dim_u")                                # a batch that is folded already runs again
     store.compact("dim_u")
+    assert warehouse.spark.table("dims_e2e.dim_u").count() == 5
     assert sorted(tuple(r) for r in store.read("dim_u").collect()) == [("1", "e"), ("2", "d")]
+
+
+def test_many_batches_leave_few_partitions(spark):
+    store = sinks.DimStore(spark, "dims_many", fold_every=5)
+    rows = "sink_table string, sink_columns string, sink_pk string, data map<string,string>, ts bigint, seq bigint"
+    for n in range(50):
+        made = [("DIM_M", "id,n", "id", {"id": str(n % 7), "n": str(x)}, 1, x) for x in (n, n - 1)]
+        store.upsert_routed(spark.createDataFrame(made, rows), n)   # the table is made by its first rows
+        assert spark.sql("SHOW PARTITIONS dims_many.dim_m").count() <= 12
+    assert {r.id: r.n for r in store.read("dim_m").collect()} == {str(n % 7): str(n) for n in range(43, 50)}
+
+
+def test_three_updates_in_one_second(spark):
+    store = sinks.DimStore(spark, "dims_second")
+    store.create("dim_s", "id,n", "id")
+    lines = [json.dumps({"database": "edu", "table": "s", "type": "update", "ts": 1, "xid": 7, "xoffset": x,
+                         "data": {"id": str(k), "n": str(x)}}) for k in range(8) for x in (2, 0, 1)]
+    changes = filters.clean_changes(filters.parse_changes(spark.createDataFrame([(x,) for x in lines], "value string")), "edu")
+    store.upsert(changes, 0, "dim_s")
+    assert {tuple(r) for r in store.read("dim_s").collect()} == {(str(k), "2") for k in range(8)}
+    with pytest.raises(ValueError, match="seq"):
+        store.upsert(changes.drop("seq"), 1, "dim_s")
+
+
+def test_an_update_that_runs_again_keeps_rows(spark):
+    store = sinks.DimStore(spark, "dims_again")
+    columns = "op string, ts_ms bigint, " + ", ".join(f"{c} string" for c in schemas.CONFIG.fieldNames())
+    update = spark.createDataFrame([("u", 1, "t", None, "DIM_T", "dim", "id", "id", None)], columns)
+    store.apply(update, batch=3)
+    store.upsert(spark.createDataFrame([({"id": "1"}, 1, 1)], "data map<string,string>, ts bigint, seq bigint"), 0, "dim_t")
+    store.apply(update, batch=3)
+    assert store.read("dim_t").count() == 1
+    store.apply(update, batch=4)
+    assert store.read("dim_t").count() == 0
+
+
+def test_two_warehouses_and_a_restart(spark, tmp_path):
+    """Each goes on from its own place, and a row of a dimension and its config row may come together."""
+    made = []
+    for n in range(2):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        write(folder, "table_process", 0, [config("c", 1, "base_source", None, "DIM_BASE_SOURCE", "dim", "id,source_site", "id")])
+        write(folder, schemas.CHANGE_LOG_TOPIC, 0, [change("base_source", T0, id="1", source_site=f"site {n}")])
+        made.append(Warehouse(spark, str(folder), "edu", every=None, dim_database=f"dims_side_{n}"))
+    for part in (0, 1):
+        run(*[w.config for w in made])
+        run(*[w.dim_rows for w in made])
+        for n, w in enumerate(made):
+            want = {("1", f"site {n}")} | ({("2", "more")} if part else set())
+            assert {tuple(r) for r in w.dims.read("dim_base_source").collect()} == want
+            write(tmp_path / str(n), schemas.CHANGE_LOG_TOPIC, 1 + part, [change("base_source", T0, id="2", source_site="more")])
+
+
+def test_late_payment_is_found(spark, tmp_path):
+    folder = tmp_path / "late"
+    folder.mkdir()
+    w = Warehouse(spark, str(folder), "edu", every=None, dim_database="dims_late")
+    write(folder, schemas.CHANGE_LOG_TOPIC, 0, [change("payment_info", T0 + 3 * 86_400, id="p", order_id="o")])
+    path = folder / "topics" / "dwd_trade_order_detail" / "topic=dwd_trade_order_detail"
+    path.mkdir(parents=True)
+    (path / "0.txt").write_text(json.dumps({"id": "d", "order_id": "o", "final_amount": "5", "ts": T0, "seq": 1}) + "\n")
+    run(w.payments)
+    found = spark.read.schema("value string, topic string").text(f"{folder}/topics/dwd_trade_pay_suc_detail").collect()
+    assert [json.loads(r.value)["order_detail_amount"] for r in found] == ["5"]
