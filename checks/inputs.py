@@ -10,22 +10,51 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eduflow.functions import values as V
 
 DATABASE = "edu"
+FAR_YEAR = 2200
 
 
 class Inputs:
-    def __init__(self, spark: SparkSession, folder: str, live: tuple[str, ...] = ()):
-        """`live` tables are read as streams."""
+    def __init__(self, spark: SparkSession, folder: str, live: tuple[str, ...] = (), closing: str | None = None):
+        """`live` tables are read as streams; the rows in the folder `closing` come after them, file by file."""
         self.spark = spark
         self.folder = folder
         self.live = live
+        self.closing = closing
 
     def table(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name in self.live:
-            return (self.spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
-                    .parquet(self.folder))
+            stream = self.spark.readStream.schema(table.schema)
+            rows = stream.option("recursiveFileLookup", "false").parquet(f"{self.folder}/{name}.parquet*")
+            if not self.closing:
+                return rows
+            return rows.union(stream.option("maxFilesPerTrigger", 1).parquet(f"{self.closing}/{name}"))
         return table
 
+    def close(self, name: str, key: Column | None = None) -> None:
+        """Write rows of a table's kind that lie far ahead: after them no window of the table is open.
+
+        The first file is empty, so that it comes with the table itself. `key` replaces the order key of line items.
+        """
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name == "events":
+            base = table.groupBy("event_type").agg(F.min_by(F.struct(*table.columns), "event_id").alias("r")).select("r.*")
+            time = "ts"
+        else:
+            bought = self.spark.read.parquet(f"{self.folder}/events.parquet").where("event_type = 'purchase'")
+            sold = table.join(bought, F.col("l_orderkey") == F.col("event_id"), "left_semi")
+            base = sold.orderBy("l_orderkey", "l_linenumber").limit(1)
+            time = "l_shipdate"
+        for number in range(5):
+            far = F.lit(f"{FAR_YEAR + number}-01-01").cast(table.schema[time].dataType)
+            rows = base.withColumn(time, far).limit(100 if number else 0)
+            if name == "lineitem":
+                line = F.lit(100 + number).cast(table.schema["l_linenumber"].dataType)
+                rows = rows.withColumn("l_linenumber", line)
+                if key is not None:
+                    rows = rows.withColumn("l_orderkey", (key - number).cast(table.schema["l_orderkey"].dataType))
+            rows.select(*table.columns).coalesce(1).write.mode("append").parquet(f"{self.closing}/{name}")
+
     # events
 
     def events(self) -> DataFrame:

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import oracles as O
-from checks.inputs import DATABASE, Inputs, text
-from eduflow import session
+from checks.inputs import DATABASE, FAR_YEAR, Inputs, text
+from eduflow import schemas, session
 from eduflow.functions import values as V
 from eduflow.operators import filters, joins, projections, routing, state, windows
 from eduflow.plans import facts, keywords, report, summaries
 from eduflow.sources import topics
-from eduflow.streaming import states
+from eduflow.streaming import sinks, states
+from eduflow.streaming.jobs import Warehouse
 
 Query = Callable[[Inputs], DataFrame]
 ENTRIES: dict[str, tuple[Query, str | None]] = {}
@@ -73,8 +73,10 @@ _summaries()
   FROM ({O.with_dims(9, O.FIVE_SECONDS)}) WHERE strftime(CAST(stt AS TIMESTAMP), '%Y%m%d') = '{REPORT_DATE}'
   GROUP BY source_name""")
 def order_by_source(i: Inputs) -> DataFrame:
-    orders = summaries.JOBS[TABLES[9]].finish(windowed(i, 9, "5 seconds"), i.dim)
-    return report.order_by_source(orders, REPORT_DATE)
+    """The window table is stored by day, and the report reads one day of it."""
+    folder = session.work_folder(i.spark)
+    sinks.store_windows(summaries.summary(TABLES[9], summary_facts(i, 9), i.dim), 0, folder)
+    return report.stored_order_by_source(i.spark, folder, REPORT_DATE)
 
 
 # cleaning and selection
@@ -454,22 +456,82 @@ def dim_job(i: Inputs) -> DataFrame:
 
 # upserts
 
+@add("snk_01_fixed_topics", f"WITH {O.CARTS} SELECT * FROM cart")
+def fixed_topics(i: Inputs) -> DataFrame:
+    """A stream of facts to its topic, and the topic read back."""
+    rows = facts.cart_adds(Inputs(i.spark, i.folder, ("events",)).cart_changes(), DATABASE)
+    folder, topic = session.work_folder(i.spark), "dwd_trade_cart_add"
+    sinks.write_topics(sinks.topic_rows(rows, topic), folder, topic, "text", f"{folder}/topics", None).awaitTermination()
+    return topics.facts(topics.read_topic(i.spark, topic, "text", f"{folder}/topics", streaming=False), topic)
+
+
+def _warehouse(i: Inputs) -> Warehouse:
+    """A warehouse over the events as change lines, with the current config."""
+    folder = session.work_folder(i.spark)
+    i.event_change_lines().write.text(f"{folder}/{schemas.CHANGE_LOG_TOPIC}")
+    w = Warehouse(i.spark, folder, DATABASE, every=None, dim_database=f"dims_{uuid.uuid4().hex}", dim_folder=f"{folder}/dims")
+    w.preload(_config(i, "dim").unionByName(_config(i, "dwd")))
+    return w
+
+
+@add("snk_02_topic_per_row", f"""SELECT sink_table AS topic, id, k, user_id FROM ({ROUTED})""")
+def topic_per_row(i: Inputs) -> DataFrame:
+    """Routed change rows in the topics that the config names, read back."""
+    w = _warehouse(i)
+    w.routed().awaitTermination()
+    written = i.spark.read.schema("value string, topic string").text(f"{w.folder}/topics/dwd_routed")
+    data = F.from_json("value", "map<string,string>")
+    return written.select("topic", *[data[c].alias(c) for c in ("id", "k", "user_id")])
+
+
 @add("snk_04_upsert_order_detail", f"""WITH {O.DETAIL} SELECT id, course_id, order_id, user_id, final_amount,
   province_id, sc, ts FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) AS n FROM detail)
   WHERE n = 1""")
 def upsert_details(i: Inputs) -> DataFrame:
-    rows = routing.latest(i.order_details(), ["id"], ["ts", "seq"])
-    return rows.select("id", "course_id", "order_id", "user_id",
-                       V.as_money(F.col("final_amount")).alias("final_amount"), "province_id", "sc", "ts")
-
-
-@add("snk_05_upsert_dim", f"""WITH {O.EV} SELECT CAST(user_id AS VARCHAR) AS id, CAST(k AS VARCHAR) AS k,
-  event_type AS kind FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) AS n
-  FROM ev) WHERE n = 1""")
+    """Order details written to a keyed topic twice; a reader takes the last row of each key."""
+    folder, topic = session.work_folder(i.spark), "dwd_trade_order_detail"
+    for _ in range(2):
+        rows = Inputs(i.spark, i.folder, ("lineitem",)).order_details()
+        sinks.write_topics(sinks.topic_rows(rows, topic, "id"), uuid.uuid4().hex, topic, "parquet", f"{folder}/topics",
+                           None).awaitTermination()
+    loose = T.StructType([T.StructField(f.name, T.DecimalType(38, 0) if f.name == "seq" else f.dataType)
+                          for f in schemas.ORDER_DETAIL])
+    written = i.spark.read.schema("key string, value string, topic string").parquet(f"{folder}/topics")
+    parsed = filters.as_facts(written.where(F.col("key").isNotNull()).select("value"), loose)
+    last = routing.latest(parsed, ["id"], ["ts", "seq"])
+    return last.select("id", "course_id", "order_id", "user_id", V.as_money(F.col("final_amount")).alias("final_amount"),
+                       "province_id", "sc", "ts")
+
+
+@add("snk_05_upsert_dim", f"""WITH {O.CONFIG} SELECT lower(d.sink_table) AS sink_table, CAST(c.event_id AS VARCHAR) AS id,
+  CASE WHEN d.sink_columns = 'id,k' THEN CAST(c.k AS VARCHAR) END AS k,
+  CASE WHEN d.sink_columns <> 'id,k' THEN CAST(c.user_id AS VARCHAR) END AS user_id
+  FROM clean c JOIN dim_config d ON c.tab = d.source_table""")
 def upsert_dim(i: Inputs) -> DataFrame:
-    rows = i.events().select(text("user_id").alias("id"), text("k").alias("k"),
-                             F.col("event_type").alias("kind"), "ms", "event_id")
-    return routing.latest(rows, ["id"], ["ms", "event_id"]).select("id", "k", "kind")
+    """Change rows of dimension tables into their tables, read back."""
+    w = _warehouse(i)
+    w.dim_rows().awaitTermination()
+    found = None
+    for table in sorted(t.name for t in i.spark.catalog.listTables(w.dim_database)):
+        rows = w.dims.read(table)
+        part = rows.select(F.lit(table).alias("sink_table"), "id", *[
+            F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("k", "user_id")])
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@add("snk_05_same_second", f"""WITH {O.EV} SELECT CAST(user_id AS VARCHAR) AS id, CAST(k AS VARCHAR) AS k,
+  event_type AS kind FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n
+  FROM ev) WHERE n = 1""")
+def upsert_same_second(i: Inputs) -> DataFrame:
+    """All events as changes of one second: the last to arrive stands, also when a batch runs again."""
+    store = sinks.DimStore(i.spark, f"dims_{uuid.uuid4().hex}", folder=session.work_folder(i.spark))
+    store.create("dim_user", "id,k,kind", "id")
+    rows = i.events().select(F.create_map(F.lit("id"), text("user_id"), F.lit("k"), text("k"), F.lit("kind"), "event_type")
+                             .alias("data"), F.lit(1).cast("bigint").alias("ts"), F.col("event_id").alias("seq"))
+    for _ in range(2):
+        store.upsert(rows, 0, "dim_user")
+    return store.read("dim_user")
 
 
 # keyed state
@@ -581,38 +643,24 @@ def keyword_split(i: Inputs) -> DataFrame:
 
 def run_stream(i: Inputs, rows: DataFrame, name: str) -> DataFrame:
     """Write a stream to files in the shared folder and read them back."""
-    folder = f"{work_folder(i.spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{session.work_folder(i.spark)}/{name}"
     query = (rows.writeStream.format("parquet").option("path", f"{folder}/rows")
              .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
     query.awaitTermination()
     return i.spark.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return f"{session.shared_folder(spark)}/streams"
-
-
-ANY_FACT = f"SELECT strftime(max(l_shipdate), {O.FORMAT}) FROM lineitem"
-LAST_FACT = {
-    7: ANY_FACT, 8: ANY_FACT, 12: ANY_FACT,
-    9: f"WITH {O.DETAIL} SELECT max(create_time) FROM detail WHERE sc IS NOT NULL"}
-
-
 def _streams() -> None:
     for number, short in SUMMARY_NAMES.items():
         def streamed(i: Inputs, number=number, short=short) -> DataFrame:
-            live = Inputs(i.spark, i.folder, ("lineitem",) if number in (7, 8, 9, 10, 12, 13) else ("events",))
-            rows = states.windowed(TABLES[number], summary_facts(live, number), i.dim, delay="0 seconds", keep_ms=0)
-            return run_stream(i, RATES.get(number, lambda r: r)(rows), f"str_{number:02d}")
-
-        # a window closes when a later one has begun, so the last one stays open; corrections go
-        # back in time, so there the last fact tells, not the last window
-        last = LAST_FACT.get(number, "SELECT max(stt) FROM whole")
-        add(f"str_{number:02d}_{short}", f"""WITH whole AS ({O.summary(number, O.FIVE_SECONDS)})
-          SELECT * FROM whole WHERE stt < ({last})""")(streamed)
+            name = "lineitem" if number in (7, 8, 9, 10, 12, 13) else "events"
+            live = Inputs(i.spark, i.folder, (name,), session.work_folder(i.spark))
+            live.close(name, F.lit(-1) if number in (12, 13) else None)
+            rows = states.windowed(TABLES[number], summary_facts(live, number), i.dim, delay="0 seconds")
+            got = run_stream(i, RATES.get(number, lambda r: r)(rows), f"str_{number:02d}")
+            return got.where(F.col("stt") < str(FAR_YEAR))
+
+        add(f"str_{number:02d}_{short}", O.summary(number, O.FIVE_SECONDS))(streamed)
 
 
 FAR = ("20000 days", "20000 days")

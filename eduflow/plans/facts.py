@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from eduflow import session
 from eduflow.operators import filters, joins, projections, routing, state
 
 
 def logs(raw: DataFrame) -> DataFrame:
-    """Raw logs to (kind, topic, data), with the new-visitor flag repaired."""
-    return projections.split_log(projections.nested_log(state.repair_new_flag(projections.flat_log(raw))))
+    """Raw logs to (kind, topic, data), with the new-visitor flag repaired.
+
+    The flag needs the log twice, so the parsed log is stored once: a line is parsed once.
+    """
+    flat = session.stored(projections.flat_log(raw))
+    return projections.split_log(projections.nested_log(state.repair_new_flag(flat)))
 
 
 def cart_adds(changes: DataFrame, database: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; each may be changed on a running session.
 RUNTIME = {
@@ -47,6 +49,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one; a local session that names none gets one of this machine."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return f"{shared_folder(spark)}/eduflow/work/{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read again, for plans that read them more than once."""
+    folder = work_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def checkpoint_path(spark: SparkSession, owner: str, query: str) -> str:
     """One checkpoint folder per owner and query name, kept between runs.
 

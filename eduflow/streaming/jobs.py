@@ -39,9 +39,10 @@ class Warehouse:
     window_seconds: int = 5
     salt: int = 1               # tasks that share one key of a stream join
     dim_database: str = "dims"
+    dim_folder: str | None = None       # place of the dimension tables, the catalog's own by default
 
     def __post_init__(self):
-        self.dims = sinks.DimStore(self.spark, self.dim_database)
+        self.dims = sinks.DimStore(self.spark, self.dim_database, folder=self.dim_folder)
 
     # topics
 

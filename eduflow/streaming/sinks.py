@@ -65,7 +65,8 @@ def stamped(rows: DataFrame) -> DataFrame:
 def store_windows(rows: DataFrame, batch: int, path: str) -> None:
     """Write finished windows under the day they start on, replacing this batch's files."""
     day = F.replace(F.substring("stt", 1, 10), F.lit("-"), F.lit(""))
-    (stamped(rows).withColumn("dt", day).withColumn("batch", F.lit(batch))
+    # A day's rows come together, few to a file; a large day is still cut into several.
+    (stamped(rows).withColumn("dt", day).withColumn("batch", F.lit(batch)).hint("rebalance", F.col("dt"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt", "batch").parquet(path))
 
@@ -91,9 +92,9 @@ class DimStore:
     keys.
     """
 
-    def __init__(self, spark: SparkSession, database: str = "dims", fold_every: int = 20):
+    def __init__(self, spark: SparkSession, database: str = "dims", fold_every: int = 20, folder: str | None = None):
         self.spark, self.database, self.fold_every = spark, database, fold_every
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`" + (f" LOCATION '{folder}'" if folder else ""))
 
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table.lower()}`"

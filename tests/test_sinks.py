@@ -66,3 +66,18 @@ def test_parsed_once(spark):
     lines = spark.createDataFrame([("{}",)], "value string")
     plan = filters.clean_changes(filters.parse_changes(lines), "edu")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_a_raw_log_line_is_parsed_once(spark):
+    from eduflow.operators import projections
+    from eduflow.plans import facts
+    lines = spark.createDataFrame([('{"common":{"mid":"m","is_new":"1"},"ts":7,"page":{"page_id":"p"}}',)], "value string")
+    split = facts.logs(projections.parse_log(lines))
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 1
+    assert [r.kind for r in split.collect()] == ["page"]
+
+
+def test_file_topics_keep_the_key_where_they_can(spark):
+    rows = spark.createDataFrame([("t", "k", "v")], "topic string, key string, value string")
+    assert sinks.file_rows(rows, "text").columns == ["value", "topic"]
+    assert sinks.file_rows(rows, "parquet").columns == ["key", "value", "topic"]
