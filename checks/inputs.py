@@ -40,6 +40,8 @@ class Inputs:
         if name == "events":
             base = table.groupBy("event_type").agg(F.min_by(F.struct(*table.columns), "event_id").alias("r")).select("r.*")
             time = "ts"
+        elif name == "orders":
+            base, time = table.orderBy("o_orderkey").limit(1), "o_orderdate"
         else:
             bought = self.spark.read.parquet(f"{self.folder}/events.parquet").where("event_type = 'purchase'")
             sold = table.join(bought, F.col("l_orderkey") == F.col("event_id"), "left_semi")

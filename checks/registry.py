@@ -677,6 +677,33 @@ def stream_join_info(i: Inputs) -> DataFrame:
     return run_stream(i, joined.drop("et"), "str_join_01")
 
 
+def _closed(i: Inputs, *names: str) -> Inputs:
+    """The tables as streams that end with rows far ahead, so that unmatched rows come out too."""
+    live = Inputs(i.spark, i.folder, names, session.work_folder(i.spark))
+    for name in names:
+        live.close(name)
+    return live
+
+
+@add("str_join_02_order_source", f"""WITH {O.PAGE} SELECT d.*, sc FROM ({DETAIL_ROWS}) d
+  LEFT JOIN (SELECT item, sc FROM page WHERE page_id = 'order') ON order_id = item""")
+def stream_join_source(i: Inputs) -> DataFrame:
+    """Both sides are streams; a detail without a source comes out when none can come any more."""
+    live = _closed(i, "lineitem", "events")
+    sources = filters.event_timed(order_sources(live), "ms", windows.DELAY)
+    joined = joins.orders_with_source(_timed(order_details(live)), sources, FAR)
+    return run_stream(i, joined.drop("et"), "str_join_02").where(F.col("create_time") < str(FAR_YEAR))
+
+
+@add("str_dwd_03_order_detail", JOINED + " SELECT * FROM order_detail")
+def stream_order_detail(i: Inputs) -> DataFrame:
+    """Details, orders and sources as streams: an inner join, then a left one."""
+    live = _closed(i, "lineitem", "orders", "events")
+    sources = filters.event_timed(order_sources(live), "ms", windows.DELAY)
+    rows = joins.order_detail_facts(_timed(order_details(live)), _timed(order_infos(live)), sources, FAR, FAR)
+    return run_stream(i, rows, "str_dwd_03").where(F.col("create_time") < str(FAR_YEAR))
+
+
 @add("str_join_03_payment_detail", PAID.replace("LEFT JOIN (SELECT item, sc FROM page", "LEFT JOIN (SELECT item, NULL AS sc FROM page"))
 def stream_join_payment(i: Inputs) -> DataFrame:
     """Payments with the details of their orders, spread over four tasks per order; `sc` is not known here."""
