@@ -446,7 +446,7 @@ def routed_topics(i: Inputs) -> DataFrame:
 def dim_job(i: Inputs) -> DataFrame:
     """Dimension rows by primary key, here the event's number `k`, newest row last."""
     changes = filters.clean_changes(filters.parse_changes(i.event_change_lines()), DATABASE)
-    keyed = changes.select("*", F.col("data")["k"].alias("pk"), F.col("data")["id"].cast("bigint").alias("seq"))
+    keyed = changes.withColumns({"pk": F.col("data")["k"], "seq": F.col("data")["id"].cast("bigint")})
     routed = routing.route_dims(keyed, _config(i, "dim"))
     newest = routing.latest(routed, ["sink_table", "pk"], ["ts", "seq"])
     data = F.col("data")
