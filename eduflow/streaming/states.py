@@ -90,7 +90,8 @@ def measured(table: str, facts: DataFrame, dims: Dims | None, window_ms: int, de
         rows = daily_logins(filters.event_timed(filters.known_users(facts), delay=delay), keep_ms)
     else:
         plain = job.measure(facts, dims) if job.needs_dims else job.measure(facts)
-        return filters.event_timed(summaries.keyed(table, plain), delay=delay)
+        # a row without a group key still tells that time has passed
+        return summaries.keyed(table, filters.event_timed(plain, delay=delay))
     return summaries.keyed(table, rows)
 
 
