@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,22 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where this process has found it, wherever it was started.
+
+    A cluster on whose machines it is not installed gets it with --py-files, as any other package.
+    """
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below `spark.checkpoint.dir`; where that is unset (tests), it is set to one of this machine."""
+    importable(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -46,6 +62,7 @@ def row_print(text: Column) -> Column:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -92,6 +109,7 @@ def per_document(docs: DataFrame, keep: list[str], fields: str, make) -> DataFra
 
     `make` takes the texts of one batch (a list, with None for null) and is called in the tasks.
     """
+    importable(docs.sparkSession)
     kept = F.struct(*[docs[c] for c in keep]).alias("row")
     rows = docs.select(kept, docs["text"].cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(fields).fields])
