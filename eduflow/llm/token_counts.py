@@ -2,7 +2,7 @@
 
 A task reads documents into blocks. A block lists its distinct pre-tokens (white-space-separated words, as white space
 is dropped by the vocabulary; ASCII letters in lower case where no special token may hide), and of each document which
-of them it has how often. All blocks' lists are dealt out by pre-token, so that every pre-token lies in one task, where
+of them it has how often, as steps between sorted numbers, packed. All blocks' lists are dealt out by pre-token, so that every pre-token lies in one task, where
 the library counts its pieces once; the counts go back to their blocks and are summed by frequency. What is moved is
 a list of words and small numbers per block, neither texts nor ids; a pre-token comes once from a block, so no
 frequent word makes a large group.
@@ -46,23 +46,33 @@ class Block:
 
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.docs, self.bytes, self.kinds, self.items = [], [], [], []
+        self.docs, self.bytes, self.kinds, self.steps, self.times = [], [], [], [], []
         self.chars = 0
 
     def add(self, doc, raw: bytes) -> None:
         found, number = Counter(pre_tokens(raw)), self.number
         at = np.fromiter((number.setdefault(w, len(number)) for w in found), np.uint32, len(found))
-        times = np.fromiter(found.values(), np.uint32, len(found))
+        order = np.argsort(at)
         self.docs.append(doc)
         self.bytes.append(len(raw))
         self.kinds.append(len(found))
-        self.items.append(np.stack([at, times]).tobytes())
+        self.steps.append(np.diff(at[order], prepend=np.uint32(0)))
+        self.times.append(np.fromiter(found.values(), np.uint32, len(found))[order])
         self.chars += len(raw)
 
     def row(self) -> list:
         pack = zstandard.ZstdCompressor(level=3).compress
-        return [uuid.uuid4().int >> 65, self.docs, self.bytes, self.kinds, pack(b"".join(self.items)),
-                pack(b"\n".join(self.number))]
+        return [uuid.uuid4().int >> 65, self.docs, self.bytes, self.kinds,
+                pack(planes(np.concatenate(self.steps + self.times))), pack(b"\n".join(self.number))]
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """All first bytes of 32-bit numbers, then all second ones, and so on: small numbers pack well so."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def batch_of(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
@@ -159,12 +169,14 @@ def totals(made: DataFrame, counts: DataFrame) -> DataFrame:
                     ("numbers", np.int32), ("pieces", np.uint32)))
                 of = np.zeros(len(numbers), np.int64)
                 of[numbers] = pieces
-                both = np.frombuffer(zstandard.ZstdDecompressor().decompress(items), np.uint32)
-                tokens, at = [], 0
-                for n in kinds:
-                    tokens.append(int(of[both[at : at + n]] @ both[at + n : at + 2 * n].astype(np.int64)) if n else 0)
-                    at += 2 * n
-                yield batch_of(list(zip(docs, sizes, tokens, strict=True)), TOTAL_SCHEMA)
+                both = from_planes(zstandard.ZstdDecompressor().decompress(items)).astype(np.int64)
+                steps, times = both[: len(both) // 2], both[len(both) // 2 :]
+                ends = np.cumsum(kinds)
+                placed = np.append(0, np.cumsum(steps))
+                at = placed[1:] - np.repeat(placed[ends - kinds], kinds)
+                summed = np.append(0, np.cumsum(of[at] * times))
+                yield batch_of(list(zip(docs, sizes, (summed[ends] - summed[ends - kinds]).tolist(), strict=True)),
+                               TOTAL_SCHEMA)
 
     joined = made.select("block", "doc_ids", "n_bytes", "kinds", "items").join(of_block, "block", "left").drop("block")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
