@@ -3,8 +3,10 @@
 For each language a bounded sample of labelled text becomes a suffix automaton. A text is parsed from left to right
 into the longest phrases that occur in the sample; the number of phrases times the bits that point into the sample,
 per symbol, is the text's entropy against that language, and the least wins. Symbols are lower-case letters, and one
-space for whatever stands between them. Texts are parsed in segments of SEGMENT symbols, side by side, and all of a
-text's segments count.
+space for whatever stands between them; every letter of the samples is a symbol of its own, of any script. An automaton
+numbers the symbols of its own sample by frequency: steps over the first DENSE lie in a table, those over rarer ones in
+a sorted list, so its size follows the sample, not the alphabet. Texts are parsed in segments of SEGMENT symbols, side
+by side, and all of a text's segments count.
 
 The sample: `sample_rows` labelled documents a language (those of least hash of their id), `sample_chars` of each. Ties
 go to the first language by name. The score is the runner-up's entropy over the sum of both: 0.5 for a tie, 1 where
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from eduflow.llm.common import per_document
 
-SEGMENT, SYMBOLS, BLOCK_CHARS = 1024, 64, 4_000_000
-UNSEEN, SPACE, NEW = 0, 1, 255
+SEGMENT, DENSE, BLOCK_CHARS = 1024, 64, 4_000_000
+UNSEEN, SPACE, NEW = 0, 1, -1
 
 
 class Symbols:
@@ -32,8 +34,9 @@ class Symbols:
 
     def __init__(self, samples: list[str]):
         seen = Counter(c for text in samples for c in text.lower() if c.isalpha())
-        letters = sorted(seen, key=lambda c: (-seen[c], c))[: SYMBOLS - 2]
-        self.of = np.full(0x110000, NEW, np.uint8)
+        letters = sorted(seen, key=lambda c: (-seen[c], c))
+        self.size = len(letters) + 2
+        self.of = np.full(0x110000, NEW, np.int32)
         for number, letter in enumerate(letters, 2):
             self.of[ord(letter)] = number
 
@@ -51,8 +54,8 @@ class Symbols:
         return symbols[keep], not space.all()
 
 
-def suffix_automaton(symbols: list[int]) -> np.ndarray:
-    """Transitions by state and symbol, flat; state 1 is the root and 0 no state."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Steps by state and symbol; state 1 is the root and 0 no state."""
     step: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [-1, 0]
     last = 1
@@ -79,12 +82,42 @@ def suffix_automaton(symbols: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    flat = np.zeros(len(step) * SYMBOLS, np.int32)
-    for state, row in enumerate(step):
-        for c, to in row.items():
-            if c != UNSEEN:
-                flat[state * SYMBOLS + c] = to
-    return flat
+    return step
+
+
+class Automaton:
+    """The steps of a sample's suffix automaton, over the sample's own symbols: 0 is none of them."""
+
+    def __init__(self, sample: np.ndarray, size: int):
+        kinds, counts = np.unique(sample[sample != UNSEEN], return_counts=True)
+        self.own = np.zeros(size, np.int32)
+        self.own[kinds[np.argsort(-counts, kind="stable")]] = np.arange(1, len(kinds) + 1)
+        step = suffix_automaton(self.own[sample].tolist())
+        self.width, self.symbols = min(DENSE, len(kinds) + 1), len(kinds) + 1
+        self.table = np.zeros(len(step) * self.width, np.int32)
+        self.first = np.zeros(self.symbols, np.int32)
+        rare = []
+        for state, row in enumerate(step):
+            for c, to in row.items():
+                if UNSEEN < c < self.width:
+                    self.table[state * self.width + c] = to
+                elif c != UNSEEN:
+                    rare.append((state * self.symbols + c, to))
+        for c, to in step[1].items():
+            self.first[c] = to if c != UNSEEN else 0
+        keys, to = np.array(sorted(rare), np.int64).reshape(-1, 2).T
+        self.keys, self.to = keys.copy(), to.astype(np.int32)
+
+    def after(self, states: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states that follow by symbols of this sample, 0 where none does."""
+        far = np.flatnonzero(c >= self.width) if len(self.keys) else c[:0]
+        if not len(far):
+            return self.table[states * self.width + c]
+        to = self.table[states * self.width + np.where(c < self.width, c, 0)]
+        key = states[far].astype(np.int64) * self.symbols + c[far]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        to[far] = np.where(self.keys[at] == key, self.to[at], 0)
+        return to
 
 
 class Languages:
@@ -96,19 +129,20 @@ class Languages:
         self.automata, self.bits = [], []
         for name in self.names:
             read = np.concatenate([np.append(self.symbols.read(x)[0], SPACE) for x in samples[name]])
-            self.automata.append(suffix_automaton(read.tolist()))
+            self.automata.append(Automaton(read, self.symbols.size))
             self.bits.append(np.log2(max(2, len(read))))
 
-    def phrases(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    def phrases(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, steps: Automaton) -> np.ndarray:
         """Phrases of each segment; segments are in falling order of size."""
+        flat = steps.own[flat]
         state, count = np.ones(len(starts), np.int32), np.zeros(len(starts), np.int32)
         for t in range(int(sizes[0]) if len(sizes) else 0):
             k = np.searchsorted(-sizes, -t, side="left")  # segments longer than t
             c = flat[starts[:k] + t]
             now = state[:k]
-            to = steps[now * SYMBOLS + c]
+            to = steps.after(now, c)
             at = np.flatnonzero(to == 0)
-            first = steps[SYMBOLS + c[at]]
+            first = steps.first[c[at]]
             count[at] += (now[at] != 1).astype(np.int32) + (first == 0)
             to[at] = np.maximum(first, 1)
             state[:k] = to
@@ -119,7 +153,7 @@ class Languages:
         read = [self.symbols.read(x or "") for x in texts]
         lettered = np.array([b for _, b in read], bool)
         sizes = np.array([len(x) for x, _ in read], np.int64)
-        flat = np.concatenate([x for x, _ in read]) if read else np.zeros(0, np.uint8)
+        flat = np.concatenate([x for x, _ in read]) if read else np.zeros(0, np.int32)
         parts = -(-sizes // SEGMENT)
         of = np.repeat(np.arange(len(texts)), parts)
         number = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)

@@ -281,6 +281,35 @@ def test_phrases_are_longest_matches():
             assert abs(bits[0, k] - count * model.bits[k] / len(symbols)) < 1e-9
 
 
+def test_languages_of_many_scripts():
+    """Every letter counts, however many the samples have: Latin, Cyrillic, kana and two vocabularies in Han."""
+    rng = random.Random(8)
+    alphabets = {"en": range(97, 123), "ru": range(0x430, 0x450), "ja": [*range(0x3041, 0x3097), *range(0x4E00, 0x4E80)],
+                 "yue": range(0x4E00, 0x4F00), "zh": range(0x4E00, 0x4F00)}
+    words = {k: ["".join(chr(rng.choice(x)) for _ in range(rng.randint(2, 5))) for _ in range(150)] for k, x in alphabets.items()}
+    said = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    model = language_id.Languages({k: [said(k, n)] for k, n in zip(alphabets, (500, 600, 400, 300, 700), strict=True)})
+    wanted = [k for k in alphabets for _ in range(20)]
+    assert model.judge([said(k, 20) for k in wanted])[0] == wanted
+
+
+def test_phrases_over_wide_alphabets():
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(150)]
+    sample = "".join(rng.choice(letters[: 150 if i % 2 else 4]) for i in range(600))
+    model = language_id.Languages({"a": ["plain text"], "zh": [sample]})
+    for _ in range(30):
+        parts = [sample[i : i + rng.randint(1, 9)] for i in (rng.randrange(600) for _ in range(8))]
+        text = "".join(parts) + "plain" + rng.choice(letters) + "é"
+        at = count = 0
+        while at < len(text):
+            end = at + 1
+            while end <= len(text) and text[at:end] in sample:
+                end += 1
+            at, count = max(at + 1, end - 1), count + 1
+        assert abs(model.entropies([text])[0][0, 1] - count * model.bits[1] / len(text)) < 1e-9
+
+
 # benchmark passages
 
 def test_decontaminate_blocks_agree(spark):
