@@ -231,6 +231,20 @@ def test_near_copies_of_one_text(spark):
     assert Counter(map(tuple, near_dedup.classes(made).collect())) == groups(rows)
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    """Whatever texts an id has, its own first ones and none among them, all of them are in one component."""
+    other = [" ".join(f"{c}{j}" for j in range(20)) for c in "abcdef"]
+    rows = [(6, "one two", ""), (7, "one two", ""), (7, "some other text", ""), (7, "", ""), (7, None, ""),
+            (11, other[0], ""), (12, other[1], ""), (13, other[2], ""), *[(14, x, "") for x in other[:4]], (15, other[3], ""),
+            (20, other[4], ""), (20, other[5], ""), (21, other[5], ""), (22, "", ""), (None, "one two", ""), (None, "", "")]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = Counter(map(tuple, near_dedup.classes(made).collect()))
+    assert got == groups(rows)
+    assert {d: c for d, _, c, _ in got} == {6: 6, 7: 6, 11: 11, 12: 11, 13: 11, 14: 11, 15: 11, 20: 20, 21: 20, 22: 22, None: None}
+    assert {d for d, _, _, kept in got if kept} == {6, 11, 20, 22, None}
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.near_duplicates(spark, made, DATA).collect()) == [0, 0, 6, 11, 20, 22]
+
+
 def test_sketches():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
