@@ -115,22 +115,28 @@ def joined_spans(spans: list) -> list[dict]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, most_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items with text, in blocks of about `most_bytes`."""
+def item_blocks(benchmark: DataFrame, most_bytes: int) -> list[DataFrame]:
+    """The items with text, in blocks of about `most_bytes`, none of them collected."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").where(
         "text is not null")
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, -(-size // most_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[tuple(x) for x in items.where(block == i).collect()] for i in range(n)]
+    return [items.where(block == i) for i in range(n)]
 
 
 def found(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = 10,
           most_bytes: int = ITEM_BYTES) -> DataFrame:
     """Struct `row` of the kept columns, words, merged spans of hit words, and items found, of each document."""
-    out = None
+    out = shared = None
     for items in item_blocks(benchmark, most_bytes):
-        shared, name = spark.sparkContext.broadcast((items, window)), uuid.uuid4().hex
+        if out is not None:
+            if "text" not in keep:
+                raise ValueError("with more than one block of items, keep the text")
+            # The block before goes from the driver and the tasks before the next is collected.
+            before = stored(out)
+            shared.destroy()
+        shared, name = spark.sparkContext.broadcast(([tuple(x) for x in items.collect()], window)), uuid.uuid4().hex
 
         def judge(texts, shared=shared, name=name):
             search = built(name, shared)
@@ -141,9 +147,6 @@ def found(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, keep: list
             out = per_document(docs, keep, FOUND, judge)
             continue
         # A further block of items: search again, and add what it finds to what the blocks before found.
-        if "text" not in keep:
-            raise ValueError("with more than one block of items, keep the text")
-        before = stored(out)
         again = per_document(before.select("row", "spans", "items", F.col("row.text").alias("text")),
                              ["row", "spans", "items"], FOUND, judge)
         merged = F.array_sort(F.concat("row.spans", "spans"))

@@ -333,6 +333,22 @@ def test_decontaminate_blocks_agree(spark):
     assert one == many and any(r[-1] for r in one)
 
 
+def test_one_block_of_items_at_a_time(spark, edge, monkeypatch):
+    """The search of a block is stored and its items released before the next block is collected."""
+    items, seen = common.table(spark, DATA, "benchmark").where("text is not null"), []
+    size = items.selectExpr("sum(octet_length(text) + 16)").first()[0]
+
+    def noted(name, call):
+        return lambda *args: (seen.append(name), call(*args))[1]
+
+    broadcast = type(spark.sparkContext.broadcast(0))
+    monkeypatch.setattr(type(items), "collect", noted("collect", type(items).collect))
+    monkeypatch.setattr(decontaminate, "stored", noted("stored", decontaminate.stored))
+    monkeypatch.setattr(broadcast, "destroy", noted("destroy", broadcast.destroy))
+    decontaminate.found(spark, edge, items, ["doc_id", "text"], most_bytes=size // 3 + 1)
+    assert seen[-7:] == ["collect", "stored", "destroy", "collect", "stored", "destroy", "collect"]
+
+
 def test_decontaminate_edges(spark, edge):
     items = spark.createDataFrame(
         [(1, "One Two"), (1, "one-two"), (2, None), (3, "..."), (4, " ".join(f"w{j}" for j in range(5, 17))), (None, "éa"),
