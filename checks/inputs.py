@@ -14,8 +14,13 @@ FAR_YEAR = 2200
 
 
 class Inputs:
-    def __init__(self, spark: SparkSession, folder: str, live: tuple[str, ...] = (), closing: str | None = None):
-        """`live` tables are read as streams; the rows in the folder `closing` come after them, file by file."""
+    def __init__(self, spark: SparkSession, folder: str, live: tuple[str, ...] = (), closing: str | None = None,
+                 half: int | None = None):
+        """`live` tables are read as streams; the rows in the folder `closing` come after them, file by file.
+
+        `half` 0 and 1 are the earlier and the later events, for queries that run on both, one after the other.
+        """
+        self.half = half
         self.spark = spark
         self.folder = folder
         self.live = live
@@ -61,7 +66,11 @@ class Inputs:
 
     def events(self) -> DataFrame:
         """Events with `k`, the number in their properties, and `ms`, their epoch milliseconds."""
-        return self.table("events").select(
+        rows = self.table("events")
+        if self.half is not None:
+            middle = rows.agg(F.floor(F.max("event_id") / 2)).first()[0] or 0
+            rows = rows.where(F.col("event_id") > middle if self.half else F.col("event_id") <= middle)
+        return rows.select(
             "event_id", "user_id", "event_type", "value",
             F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
@@ -161,11 +170,12 @@ class Inputs:
 
     # orders and line items, as change rows
 
-    def _change(self, rows: DataFrame, table: str, kind: Column, ts: Column, **data: Column) -> DataFrame:
+    def _change(self, rows: DataFrame, table: str, kind: Column, ts: Column, arrival: Column | None = None,
+                **data: Column) -> DataFrame:
         entries = [part for name, value in data.items() for part in (F.lit(name), value.cast("string"))]
         return rows.select(
             F.lit(DATABASE).alias("database"), F.lit(table).alias("table"), kind.alias("type"),
-            F.create_map(*entries).alias("data"), ts.alias("ts"))
+            F.create_map(*entries).alias("data"), ts.alias("ts"), *([] if arrival is None else [arrival.alias("seq")]))
 
     def cart_changes(self) -> DataFrame:
         k = F.col("k")
@@ -174,10 +184,11 @@ class Inputs:
             F.floor(F.col("ms") / 1000), id=F.col("event_id"), user_id=F.col("user_id"), course_id=k,
             course_name=F.concat(F.lit("course "), k.cast("string")))
 
-    def detail_changes(self) -> DataFrame:
+    def detail_changes(self, numbered: bool = False) -> DataFrame:
+        """Line items as new order details; `numbered` by arrival."""
         item = self.table("lineitem")
         return self._change(
-            item, "order_detail", F.lit("insert"), seconds("l_shipdate"),
+            item, "order_detail", F.lit("insert"), seconds("l_shipdate"), arrival() if numbered else None,
             id=F.concat_ws("-", "l_orderkey", "l_linenumber"), course_id=F.col("l_suppkey"),
             course_name=F.concat(F.lit("course "), text("l_suppkey")), order_id=F.col("l_orderkey"),
             user_id=F.col("l_partkey"), final_amount=money("l_extendedprice"),

@@ -50,6 +50,16 @@ dwd_config AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_table, source_type ORDER BY event_id DESC) AS n
                  FROM config WHERE sink_type = 'dwd') WHERE n = 1 AND op <> 'd')"""
 
+# the configuration in force when half of the events have come, and in the end
+PHASES = CONFIG + """, middle AS (SELECT max(event_id) // 2 AS mid FROM events),
+phase_dim AS (SELECT 1 AS phase, * FROM (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY event_id DESC) AS n
+    FROM config, middle WHERE sink_type = 'dim' AND event_id <= mid) WHERE n = 1 AND op <> 'd'
+  UNION ALL BY NAME SELECT 2 AS phase, * FROM dim_config),
+phase_dwd AS (SELECT 1 AS phase, * FROM (SELECT *, row_number() OVER (PARTITION BY source_table, source_type ORDER BY event_id DESC) AS n
+    FROM config, middle WHERE sink_type = 'dwd' AND event_id <= mid) WHERE n = 1 AND op <> 'd'
+  UNION ALL BY NAME SELECT 2 AS phase, * FROM dwd_config),
+came AS (SELECT *, CASE WHEN event_id <= mid THEN 1 ELSE 2 END AS phase FROM clean, middle)"""
+
 SECONDS = "epoch_us({}) // 1000000"
 SHIP = SECONDS.format("l_shipdate")
 MADE = SECONDS.format("o_orderdate")

@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks import oracles as O
+from checks import faults, oracles as O
 from checks.inputs import DATABASE, FAR_YEAR, Inputs, text
 from eduflow import schemas, session
 from eduflow.functions import values as V
@@ -16,6 +16,7 @@ from eduflow.plans import facts, keywords, report, summaries
 from eduflow.sources import topics
 from eduflow.streaming import sinks, states
 from eduflow.streaming.jobs import Warehouse
+from eduflow.streaming.window_store import WindowStore
 
 Query = Callable[[Inputs], DataFrame]
 ENTRIES: dict[str, tuple[Query, str | None]] = {}
@@ -74,9 +75,31 @@ _summaries()
   GROUP BY source_name""")
 def order_by_source(i: Inputs) -> DataFrame:
     """The window table is stored by day, and the report reads one day of it."""
-    folder = session.work_folder(i.spark)
-    sinks.store_windows(summaries.summary(TABLES[9], summary_facts(i, 9), i.dim), 0, folder)
-    return report.stored_order_by_source(i.spark, folder, REPORT_DATE)
+    store = WindowStore(i.spark, f"windows_{uuid.uuid4().hex}", session.work_folder(i.spark))
+    store.store(TABLES[9], summaries.summary(TABLES[9], summary_facts(i, 9), i.dim), 0)
+    return report.stored_order_by_source(store, TABLES[9], REPORT_DATE)
+
+
+def _sketched(number: int, short: str) -> None:
+    """Days out of 5 s windows by merged sketches, beside the exact counts: how far apart they are at most."""
+    spec = windows.SUMMARIES[TABLES[number]]
+    counts = ", ".join([*spec.keys, "stt", *spec.distinct])
+    near = ", ".join(f"true AS {r}_near" for r in spec.distinct)
+
+    def compared(i: Inputs) -> DataFrame:
+        rows = summaries.measured(TABLES[number], summary_facts(i, number), i.dim)
+        daily = windows.rolled_up(session.stored(windows.with_sketches(rows, spec)), spec)
+        exact = windowed(i, number, "1 day").select("stt", *spec.keys, *spec.distinct)
+        about = daily.select("stt", *spec.keys, *[F.col(r).alias(f"about_{r}") for r in spec.distinct])
+        return exact.join(about, ["stt", *spec.keys], "full").select(
+            *spec.keys, "stt", *spec.distinct,
+            *[(F.abs(F.col(f"about_{r}") - F.col(r)) <= 0.05 * F.col(r)).alias(f"{r}_near") for r in spec.distinct])
+
+    add(f"agg_{number:02d}_{short}_sketched", f"SELECT {counts}, {near} FROM ({O.summary(number, O.DAY)})")(compared)
+
+
+_sketched(8, "province_order")
+_sketched(14, "video_chapter")
 
 
 # cleaning and selection
@@ -494,15 +517,36 @@ def upsert_details(i: Inputs) -> DataFrame:
         rows = Inputs(i.spark, i.folder, ("lineitem",)).order_details()
         sinks.write_topics(sinks.topic_rows(rows, topic, "id"), uuid.uuid4().hex, topic, "parquet", f"{folder}/topics",
                            None).awaitTermination()
-    loose = T.StructType([T.StructField(f.name, T.DecimalType(38, 0) if f.name == "seq" else f.dataType)
-                          for f in schemas.ORDER_DETAIL])
     written = i.spark.read.schema("key string, value string, topic string").parquet(f"{folder}/topics")
-    parsed = filters.as_facts(written.where(F.col("key").isNotNull()).select("value"), loose)
+    parsed = filters.as_facts(written.where(F.col("key").isNotNull()).select("value"), schemas.ORDER_DETAIL)
     last = routing.latest(parsed, ["id"], ["ts", "seq"])
     return last.select("id", "course_id", "order_id", "user_id", V.as_money(F.col("final_amount")).alias("final_amount"),
                        "province_id", "sc", "ts")
 
 
+NUMBERED = JOINED.replace(f"{O.SHIP} AS ts FROM lineitem", f"{O.SHIP} AS ts, {O.ARRIVAL} AS seq FROM lineitem")
+
+
+@add("snk_04_folded_details", NUMBERED + """ SELECT * FROM order_detail
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) = 1""")
+def folded_details(i: Inputs) -> DataFrame:
+    """Details given at once without a source, and corrected when the sources come in a later run of the same query; then
+    what the keyed topic says in the end."""
+    folder, topic = session.work_folder(i.spark), "dwd_trade_order_detail"
+    sources = order_sources(i)
+    sources.limit(0).coalesce(1).write.parquet(f"{folder}/sources")
+    for _ in range(2):
+        live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
+        late = i.spark.readStream.schema(sources.schema).parquet(f"{folder}/sources")
+        details = filters.order_details(live.detail_changes(numbered=True), DATABASE)
+        rows = joins.order_detail_changes(_timed(details), _timed(order_infos(live)),
+                                          filters.event_timed(late, "ms", windows.DELAY), FAR, FAR)
+        sinks.write_changes(rows, folder, topic, "id", "parquet", f"{folder}/topics", None).awaitTermination()
+        sources.write.mode("append").parquet(f"{folder}/sources")
+    said = topics.folded(i.spark, topic, f"{folder}/topics").select("value")
+    return filters.as_facts(said, schemas.ORDER_DETAIL)
+
+
 @add("snk_05_upsert_dim", f"""WITH {O.CONFIG} SELECT lower(d.sink_table) AS sink_table, CAST(c.event_id AS VARCHAR) AS id,
   CASE WHEN d.sink_columns = 'id,k' THEN CAST(c.k AS VARCHAR) END AS k,
   CASE WHEN d.sink_columns <> 'id,k' THEN CAST(c.user_id AS VARCHAR) END AS user_id
@@ -534,6 +578,113 @@ def upsert_same_second(i: Inputs) -> DataFrame:
     return store.read("dim_user")
 
 
+# configuration that changes while the streams run
+
+def _in_halves(i: Inputs, run: Callable[[Warehouse], None]) -> Warehouse:
+    """A warehouse whose changes and config changes come in two halves, the config's before the rows'."""
+    folder = session.work_folder(i.spark)
+    w = Warehouse(i.spark, folder, DATABASE, every=None, dim_database=f"dims_{uuid.uuid4().hex}", dim_folder=f"{folder}/dims")
+    for half in (0, 1):
+        part = Inputs(i.spark, i.folder, half=half)
+        part.config_lines().write.mode("append").text(f"{folder}/table_process")
+        part.event_change_lines().write.mode("append").text(f"{folder}/{schemas.CHANGE_LOG_TOPIC}")
+        w.config().awaitTermination()
+        run(w)
+    return w
+
+
+@add("str_join_13_route_dims", f"""WITH {O.PHASES} SELECT CAST(c.event_id AS VARCHAR) AS id, c.tab AS "table", c.type, c.ts,
+  d.sink_table, d.sink_columns FROM came c JOIN phase_dim d ON c.tab = d.source_table AND c.phase = d.phase""")
+def stream_route_dims(i: Inputs) -> DataFrame:
+    """Each micro-batch meets the config in force when it comes."""
+    folder = session.work_folder(i.spark)
+
+    def run(w: Warehouse) -> None:
+        def keep(batch: DataFrame, number: int) -> None:
+            routing.route_dims(batch, w.current_config("dim")).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+        rows = filters.clean_changes(w.changes(), DATABASE)
+        sinks.started(rows.writeStream.foreachBatch(keep), i.spark, folder, "routed", None).awaitTermination()
+
+    _in_halves(i, run)
+    return i.spark.read.parquet(folder).select(F.col("data")["id"].alias("id"), "table", "type", "ts", "sink_table", "sink_columns")
+
+
+@add("str_join_14_route_facts", f"""WITH {O.PHASES} SELECT d.sink_table AS topic, CAST(c.event_id AS VARCHAR) AS id,
+  CASE WHEN d.sink_columns = 'id,k' THEN CAST(c.k AS VARCHAR) END AS k,
+  CASE WHEN d.sink_columns <> 'id,k' THEN CAST(c.user_id AS VARCHAR) END AS user_id
+  FROM came c JOIN phase_dwd d ON c.tab = d.source_table AND c.type = d.source_type AND c.phase = d.phase""")
+def stream_route_facts(i: Inputs) -> DataFrame:
+    w = _in_halves(i, lambda w: w.routed().awaitTermination())
+    written = i.spark.read.schema("value string, topic string").text(f"{w.folder}/topics/dwd_routed")
+    data = F.from_json("value", "map<string,string>")
+    return written.select("topic", *[data[c].alias(c) for c in ("id", "k", "user_id")])
+
+
+@add("snk_07_table_lifecycle", f"""WITH {O.PHASES}, dims AS (SELECT *, lower(sink_table) AS name FROM config WHERE sink_type = 'dim'),
+  resets AS (SELECT name, max(event_id) FILTER (op IN ('u', 'd')) AS reset FROM dims GROUP BY name),
+  made AS (SELECT name, arg_min(sink_columns, event_id) AS columns FROM dims JOIN resets USING (name)
+    WHERE op <> 'd' AND (reset IS NULL OR event_id >= reset) GROUP BY name),
+  sent AS (SELECT lower(d.sink_table) AS name, c.phase FROM came c JOIN phase_dim d ON c.tab = d.source_table AND c.phase = d.phase)
+  SELECT made.name AS name, columns, count(sent.phase) AS n FROM made JOIN resets USING (name), middle
+    LEFT JOIN sent ON sent.name = made.name AND (sent.phase = 2 OR coalesce(reset, 0) <= mid) GROUP BY ALL""")
+def table_lifecycle(i: Inputs) -> DataFrame:
+    """The tables that are left when the config has created, changed and dropped them between batches, and their rows."""
+    w = _in_halves(i, lambda w: w.dim_rows().awaitTermination())
+    found = None
+    for table in sorted(t.name for t in i.spark.catalog.listTables(w.dim_database)):
+        part = w.dims.read(table).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(table).alias("name"), F.lit(",".join(w.dims.columns(table))).alias("columns"), "n")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+# recovery: the last micro-batch is written, its commit is lost, and the query starts again
+
+@add("snk_01_recovered_topic", f"WITH {O.CARTS} SELECT * FROM cart")
+def recovered_topic(i: Inputs) -> DataFrame:
+    folder, topic = session.work_folder(i.spark), "dwd_trade_cart_add"
+    for again in (False, True):
+        rows = facts.cart_adds(Inputs(i.spark, i.folder, ("events",)).cart_changes(), DATABASE)
+        sinks.write_topics(sinks.topic_rows(rows, topic), folder, topic, "text", f"{folder}/topics", None).awaitTermination()
+        if not again:
+            faults.uncommit(i.spark, folder, topic)
+    return topics.facts(topics.read_topic(i.spark, topic, "text", f"{folder}/topics", streaming=False), topic)
+
+
+@add("snk_06_recovered_windows", O.with_dims(6, O.DAY))
+def recovered_windows(i: Inputs) -> DataFrame:
+    """Cart windows of a day, in the catalog's table."""
+    store = WindowStore(i.spark, f"windows_{uuid.uuid4().hex}", session.work_folder(i.spark))
+    closing, owner, table = session.work_folder(i.spark), uuid.uuid4().hex, TABLES[6]
+    Inputs(i.spark, i.folder, (), closing).close("events")
+    for again in (False, True):
+        live = Inputs(i.spark, i.folder, ("events",), closing)
+        rows = states.windowed(table, summary_facts(live, 6), i.dim, 86_400, "0 seconds")
+
+        def keep(batch: DataFrame, number: int) -> None:
+            store.store(table, summaries.JOBS[table].finish(batch, i.dim), number)
+
+        sinks.started(rows.writeStream.foreachBatch(keep), i.spark, owner, table, None).awaitTermination()
+        if not again:
+            faults.uncommit(i.spark, owner, table)
+    return store.read(table).where(F.col("stt") < str(FAR_YEAR)).drop("ts", "dt")
+
+
+@add("snk_05_recovered_dims", f"""WITH {O.CONFIG} SELECT lower(d.sink_table) AS sink_table, CAST(c.event_id AS VARCHAR) AS id
+  FROM clean c JOIN dim_config d ON c.tab = d.source_table""")
+def recovered_dims(i: Inputs) -> DataFrame:
+    w = _warehouse(i)
+    w.dim_rows().awaitTermination()
+    faults.uncommit(i.spark, w.owner, "dim_rows")
+    w.dim_rows().awaitTermination()
+    found = None
+    for table in sorted(t.name for t in i.spark.catalog.listTables(w.dim_database)):
+        part = w.dims.read(table).select(F.lit(table).alias("sink_table"), "id")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 # keyed state
 
 @add("st_01_new_visitor_flag", f"WITH {O.FLAGS} SELECT mid, ts, page_id, item, is_new FROM flagged")
@@ -704,13 +855,55 @@ def stream_order_detail(i: Inputs) -> DataFrame:
     return run_stream(i, rows, "str_dwd_03").where(F.col("create_time") < str(FAR_YEAR))
 
 
-@add("str_join_03_payment_detail", PAID.replace("LEFT JOIN (SELECT item, sc FROM page", "LEFT JOIN (SELECT item, NULL AS sc FROM page"))
+def _live_details(live: Inputs, near=FAR) -> DataFrame:
+    """Order details as a stream, with `et`: details, orders and sources, by an inner join and a left one."""
+    sources = filters.event_timed(order_sources(live), "ms", windows.DELAY)
+    placed = joins.orders_with_province(_timed(order_details(live)), _timed(order_infos(live)), near)
+    return joins.orders_with_source(placed, sources, FAR)
+
+
+@add("str_join_03_payment_detail", PAID)
 def stream_join_payment(i: Inputs) -> DataFrame:
-    """Payments with the details of their orders, spread over four tasks per order; `sc` is not known here."""
+    """Payments with the details of their orders: three chained joins of four streams."""
+    live = _closed(i, "lineitem", "orders", "events")
+    rows = joins.payment_facts(_timed(payments(live)), _live_details(live), FAR)
+    return run_stream(i, rows, "str_join_03").where(F.col("create_time") < str(FAR_YEAR))
+
+
+# Orders up to 60 days before their items are shipped; the rest is forgotten.
+SHORT = ("60 days", "0 days")
+IN_TIME = "{0} BETWEEN {1} - 60 * 86400 AND {1}"
+
+
+@add("str_join_01_bounded", f"""SELECT d.*, province_id FROM ({DETAIL_ROWS}) d JOIN (SELECT i.*, {O.MADE} AS made FROM {INFO} i
+  JOIN orders ON info_id = CAST(o_orderkey AS VARCHAR)) ON order_id = info_id AND {IN_TIME.format('made', 'd.ts')}""")
+def stream_join_info_bounded(i: Inputs) -> DataFrame:
+    live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
+    joined = joins.orders_with_province(_timed(order_details(live)), _timed(order_infos(live)), SHORT)
+    return run_stream(i, joined.drop("et"), "str_join_01_bounded")
+
+
+@add("str_join_02_bounded", f"""WITH {O.PAGE} SELECT d.*, sc FROM ({DETAIL_ROWS}) d LEFT JOIN (SELECT item, sc, ts // 1000 AS seen
+  FROM page WHERE page_id = 'order') ON order_id = item AND seen BETWEEN d.ts - 60 * 86400 AND d.ts""")
+def stream_join_source_bounded(i: Inputs) -> DataFrame:
+    live = _closed(i, "lineitem", "events")
+    sources = filters.event_timed(order_sources(live), "ms", windows.DELAY)
+    joined = joins.orders_with_source(_timed(order_details(live)), sources, SHORT)
+    return run_stream(i, joined.drop("et"), "str_join_02_bounded").where(F.col("create_time") < str(FAR_YEAR))
+
+
+@add("str_join_03_bounded", f"""{PAID} AND {IN_TIME.format('p.ts', 'o.ts')}""")
+def stream_join_payment_bounded(i: Inputs) -> DataFrame:
+    live = _closed(i, "lineitem", "orders", "events")
+    rows = joins.payment_facts(_timed(payments(live)), _live_details(live), SHORT)
+    return run_stream(i, rows, "str_join_03_bounded").where(F.col("create_time") < str(FAR_YEAR))
+
+
+@add("str_join_04_bounded", f"{EXAMINED} AND {IN_TIME.format('e.ts', 'q.ts')}")
+def stream_join_exam_bounded(i: Inputs) -> DataFrame:
     live = Inputs(i.spark, i.folder, ("lineitem", "orders"))
-    still = joins.orders_with_province(_timed(order_details(live)), order_infos(i))
-    details = still.withColumn("sc", F.lit(None).cast("string"))
-    return run_stream(i, joins.payment_facts(_timed(payments(live)), details, FAR, salt=4), "str_join_03")
+    joined = joins.exam_question_facts(_timed(exam_questions(live)), _timed(exams(live)), SHORT)
+    return run_stream(i, joined, "str_join_04_bounded")
 
 
 @add("str_join_04_exam_question", EXAMINED)

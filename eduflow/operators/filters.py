@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from eduflow import schemas
 from eduflow.functions import values as V
 
-# Rows of one transaction that can be told apart.
-STEPS = 1 << 24
+# Above any place in a transaction.
+STEPS = 10 ** 18
 KEPT_TYPES = ["insert", "update", "bootstrap-insert"]
 
 
@@ -34,9 +34,10 @@ def parse_changes(lines: DataFrame) -> DataFrame:
     in it that the line itself carries. A row with neither comes before all others of its second.
     """
     rows = as_facts(lines, schemas.CHANGE_LOG)
-    own = F.col("xid") * STEPS + F.coalesce("xoffset", F.lit(0))
-    place = [F.col("seq")] if "seq" in rows.columns else []
-    return rows.withColumn("seq", F.coalesce(*place, own, F.lit(-1)).cast("bigint")).drop("xid", "xoffset")
+    whole = "decimal(19,0)"
+    own = (F.col("xid").cast(whole) * F.lit(STEPS).cast(whole)).cast(schemas.SEQ) + F.coalesce("xoffset", F.lit(0)).cast(whole)
+    place = [F.col("seq").cast(schemas.SEQ)] if "seq" in rows.columns else []
+    return rows.withColumn("seq", F.coalesce(*place, own, F.lit(-1)).cast(schemas.SEQ)).drop("xid", "xoffset")
 
 
 def _arrival(changes: DataFrame) -> list[str]:
@@ -134,6 +135,20 @@ def bad_lines(changes: DataFrame, label: str = "bad_lines") -> DataFrame:
     return changes.observe(label, F.count(F.when(F.col("database").isNull(), 1)).alias("bad_lines"))
 
 
+def paced(rows: DataFrame, others: DataFrame, delay: str, idle: str = "60 seconds") -> DataFrame:
+    """`rows` of a source that may fall silent, kept going by the event times (`et`) of others.
+
+    Rows of the others come along as rows that carry nothing but a time, `idle` behind their own. They move the watermark
+    of a silent source, and with it what joins remember, and go no further. Both sides have `et` and no watermark yet.
+    """
+    columns = [c for c in rows.columns if c != "et"]
+    beat = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns]
+    late = (F.col("et") - F.expr(f"interval {idle}")).alias("et")
+    both = rows.select(*columns, "et", F.lit(1.0).alias("own")).union(others.select(*beat, late, F.lit(0.0).alias("own")))
+    # A condition that chance has a part in stays above the watermark; any other would drop these rows before it.
+    return both.withWatermark("et", delay).where(F.rand() < F.col("own")).drop("own")
+
+
 def event_timed(rows: DataFrame, unit: str = "ms", delay: str | None = None) -> DataFrame:
     """Add `et`, the event time; `delay` sets a watermark on a stream."""
     millis = F.col("ts") if unit == "ms" else F.col("ts") * 1000

@@ -71,6 +71,34 @@ def order_detail_facts(details: DataFrame, infos: DataFrame, sources: DataFrame,
     return both.select(*ORDER_COLUMNS, *_place(both))
 
 
+def order_detail_changes(details: DataFrame, infos: DataFrame, sources: DataFrame,
+                         info_near=None, source_near=None, salt: int = 1) -> DataFrame:
+    """Order details as they become known: a row without a source at once, and when a source comes, a row that takes
+    the first one back (`gone`) and the corrected one. `version` orders the rows of an id.
+
+    On streams all rows come out of one inner join, which holds nothing back: the order's own row, as a source that
+    is null, is joined like the sources are. `source_near` lies within `info_near`.
+    """
+    placed = orders_with_province(details, infos, info_near, salt)
+    when = ["et"] if info_near else []
+    none = infos.select(F.col("id").alias("item"), F.lit(None).cast("string").alias("sc"),
+                        F.lit(None).cast("bigint").alias("known"), *when)
+    some = sources.select("item", "sc", F.col("ts").alias("known"), *when)
+    right = _timed(none.union(some), "r_et", info_near)
+    joined = _fact_join(_timed(placed, "l_et", info_near), right, "order_id", "item", "inner", info_near, salt, "id")
+    if source_near:
+        joined = joined.where(F.col("known").isNull() | _near("l_et", "r_et", *source_near))
+
+    def row(version: Column, gone: bool) -> Column:
+        return F.struct(version.cast("bigint").alias("version"), F.lit(gone).alias("gone"))
+
+    at = F.col("known") * 2
+    rows = F.when(F.col("known").isNull(), F.array(row(F.lit(0), False))).otherwise(
+        F.array(row(at + 1, True), row(at + 2, False)))
+    out = joined.select("*", F.inline(rows))
+    return out.select(*ORDER_COLUMNS, *_place(out), "version", "gone")
+
+
 def _place(rows: DataFrame) -> list[str]:
     """Order of arrival, where rows carry it."""
     return ["seq"] if "seq" in rows.columns else []

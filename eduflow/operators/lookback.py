@@ -1,36 +1,49 @@
-"""The row before this one under the same key, as one plan for any number of rows per key.
+"""The row before this one under the same key, whatever share of the rows one key has.
 
-A key's rows are cut into pieces that only their own order names: one time, and a slice of SLICE sequence numbers. A
-`lag` runs inside each piece, so a key with very many rows is many small sorts; the last row of each piece is kept by
-an aggregation, and carried to the next piece by a `lag` over the pieces. No row is counted and no key is treated apart.
+The rows are dealt out by range of (key, order, content), so a key with very many rows lies in several tasks of about
+equal size, and stored in that order, numbered. A `lag` runs inside each range. The last row of each range, one per
+task, is all that is carried: it goes to the first row of the next range. No row is counted and no key is treated apart.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICE = 1 << 20
-BEFORE_ALL = -(2.0 ** 62)
+from eduflow import session
 
+PLACE, PART, SALT = "_place", "_part", "_salt"
 
-def _piece(order: list[str]) -> Column:
-    """Grows with the order; nulls come first, as they do in a sort."""
-    time, sequence = order
-    return F.struct(F.coalesce(F.col(time).cast("double"), F.lit(BEFORE_ALL)).alias("time"),
-                    F.coalesce(F.floor(F.col(sequence).cast("double") / SLICE).cast("double"), F.lit(BEFORE_ALL)).alias("slice"))
+
+def placed(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The rows in order, stored, with their number: the range (above) and the place in it (the low 33 bits).
+
+    Rows equal in key and order are ordered by their content. Exact copies are dealt out too, by where they were read.
+    """
+    others = [c for c in rows.columns if c not in (key, *order)]
+    by = [key, *order, *others, SALT]
+    dealt = rows.withColumn(SALT, F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+    return session.stored(dealt.drop(SALT).withColumn(PLACE, F.monotonically_increasing_id())).withColumn(
+        PART, F.shiftright(PLACE, 33))
+
+
+def carried(rows: DataFrame, whole: Column) -> DataFrame:
+    """For each range its first place, and the last row of the range before: one row per range."""
+    ends = rows.groupBy(PART).agg(F.min(PLACE).alias("first"), F.max(PLACE).alias("last"))
+    tails = rows.join(ends.select(F.col("last").alias(PLACE)), PLACE, "left_semi").select(PART, whole.alias("tail"))
+    before = F.lag("tail").over(Window.orderBy(PART))  # as many rows as there were tasks
+    return ends.select(PART, "first").join(tails.withColumn("carry", before).select(PART, "carry"), PART)
 
 
 def with_previous(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Add `prev`, a struct of the row before; rows with a null key are left out.
 
-    `order` is a time and a sequence number. Rows equal in both are ordered by their content, so
-    that every part of the plan agrees on the last one.
+    `order` is a time and a sequence number. The rows are stored while the plan is built.
     """
-    rows = rows.where(F.col(key).isNotNull())
-    whole = F.struct(*rows.columns)
-    cut = rows.withColumn("piece", _piece(order))
-    inside = F.lag(whole).over(Window.partitionBy(key, "piece").orderBy(*order, whole))
-    tails = cut.groupBy(key, "piece").agg(F.max(F.struct(*order, whole.alias("tail")))["tail"].alias("tail"))
-    carried = tails.select(key, "piece", F.lag("tail").over(Window.partitionBy(key).orderBy("piece")).alias("carry"))
-    return cut.withColumn("inside", inside).join(carried, [key, "piece"]).select(
-        *rows.columns, F.coalesce("inside", "carry").alias("prev"))
+    columns = rows.columns
+    whole = F.struct(*columns)
+    there = placed(rows.where(F.col(key).isNotNull()), key, order)
+    inside = F.lag(whole).over(Window.partitionBy(PART).orderBy(PLACE))
+    paired = there.withColumn("inside", inside).join(carried(there, whole), PART)
+    before = F.when(F.col(PLACE) == F.col("first"), F.col("carry")).otherwise(F.col("inside"))
+    return paired.withColumn("before", before).select(
+        *columns, F.when(F.col("before")[key] == F.col(key), F.col("before")).alias("prev"))

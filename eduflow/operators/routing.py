@@ -20,6 +20,12 @@ def config_rows(changes: DataFrame) -> DataFrame:
     return changes.select(*others, image.alias("image")).select(*others, "image.*")
 
 
+def change_order(changes: DataFrame) -> list[str]:
+    """A total order of config changes: time, then place in the source's log, then content."""
+    return ["ts_ms", *[c for c in ("pos", "seq") if c in changes.columns], "op",
+            *[c for c in changes.columns if c in schemas.CONFIG.fieldNames()]]
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key. Partly reduced before the exchange, so a hot key moves as few rows."""
     last = F.max_by(F.struct(*rows.columns), F.struct(*order))

@@ -32,6 +32,14 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
     return loaded.where((F.col("topic") == topic) & F.col("value").isNotNull()).select("value")
 
 
+def folded(spark: SparkSession, topic: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """What a keyed file topic says now: key and value of the last row of each key; keys taken back are left out."""
+    place = f"place struct<ts:bigint,seq:{schemas.SEQ.simpleString()},version:bigint>"
+    rows = spark.read.format(fmt).schema(f"key string, value string, {place}, topic string, batch bigint").load(path)
+    last = routing.latest(rows.where(F.col("topic") == topic), ["key"], ["place", "batch"])
+    return last.where(F.col("value").isNotNull()).select("key", "value")
+
+
 def read_lines(spark: SparkSession, path: str, streaming: bool = True, **options: str) -> DataFrame:
     """A folder of text files that holds one topic only."""
     reader = spark.readStream if streaming else spark.read

@@ -15,6 +15,8 @@ from eduflow.operators import filters, joins, projections, routing, windows
 from eduflow.plans import summaries
 from eduflow.sources import topics
 from eduflow.streaming import sinks, states
+from eduflow.streaming.config_store import ConfigStore
+from eduflow.streaming.window_store import WindowStore
 
 HALF_HOUR = "30 minutes"
 SOURCE_NEAR = (HALF_HOUR, "5 seconds")
@@ -36,13 +38,18 @@ class Warehouse:
     source_options: dict[str, str] = field(default_factory=dict)
     sink_options: dict[str, str] = field(default_factory=dict)
     delay: str = windows.DELAY
+    idle: str = "60 seconds"    # so far behind the others a silent source is taken to be
     window_seconds: int = 5
     salt: int = 1               # tasks that share one key of a stream join
     dim_database: str = "dims"
     dim_folder: str | None = None       # place of the dimension tables, the catalog's own by default
+    early_details: bool = False         # order details as a keyed topic with rows taken back
+    window_database: str | None = None  # by default named after the dimensions' database
 
     def __post_init__(self):
         self.dims = sinks.DimStore(self.spark, self.dim_database, folder=self.dim_folder)
+        self.window_tables = WindowStore(
+            self.spark, self.window_database or f"{self.dim_database}_windows", f"{self.folder}/windows")
 
     # topics
 
@@ -51,7 +58,8 @@ class Warehouse:
         if self.fmt != "kafka" and raw:
             return topics.read_lines(self.spark, f"{self.folder}/{topic}", streaming, **self.source_options)
         path = f"{self.folder}/topics/{self._writer(topic)}"
-        return topics.read_topic(self.spark, topic, self.fmt, path, streaming, **self.source_options)
+        fmt = self._keyed_fmt if self.early_details and topic == "dwd_trade_order_detail" else self.fmt
+        return topics.read_topic(self.spark, topic, fmt, path, streaming, **self.source_options)
 
     def _writer(self, topic: str) -> str:
         if topic in schemas.LOG_TOPICS.values():
@@ -94,13 +102,25 @@ class Warehouse:
         return self._publish(sinks.topic_rows(rows, "dwd_trade_cart_add"), "dwd_trade_cart_add")
 
     def order_details(self, info_near=INFO_NEAR, source_near=SOURCE_NEAR) -> StreamingQuery:
-        """The times bound what a join remembers; the outer join needs such a bound."""
-        rows = joins.order_detail_facts(
-            self._timed(filters.order_details(self.changes(), self.database)),
-            self._timed(filters.order_infos(self.changes(), self.database)),
-            self._timed(filters.order_sources(self.pages()), "ms"),
-            info_near, source_near, self.salt)
-        return self._publish(sinks.topic_rows(rows, "dwd_trade_order_detail", "id"), "dwd_trade_order_detail")
+        """The times bound what a join remembers; the outer join needs such a bound.
+
+        With `early_details`, a detail is given at once, and taken back and given again when its source comes.
+        """
+        # The page log may fall silent while orders come: their time moves on what waits for a source.
+        sources = filters.paced(filters.event_timed(filters.order_sources(self.pages())),
+                                filters.event_timed(self.changes().select("ts"), "s"), self.delay, self.idle)
+        given = (self._timed(filters.order_details(self.changes(), self.database)),
+                 self._timed(filters.order_infos(self.changes(), self.database)), sources, info_near, source_near, self.salt)
+        topic = "dwd_trade_order_detail"
+        if self.early_details:
+            return sinks.write_changes(joins.order_detail_changes(*given), self.owner, topic, "id", self._keyed_fmt,
+                                       f"{self.folder}/topics/{topic}", self.every, **self.sink_options)
+        return self._publish(sinks.topic_rows(joins.order_detail_facts(*given), topic, "id"), topic)
+
+    @property
+    def _keyed_fmt(self) -> str:
+        """A line of text has no room for a key."""
+        return "parquet" if self.fmt == "text" else self.fmt
 
     def payments(self, near: tuple[str, str] | None = None) -> StreamingQuery:
         """Payments meet their details however late. With `near`, partners further apart do not meet, and what
@@ -124,27 +144,28 @@ class Warehouse:
 
     def preload(self, snapshot: DataFrame) -> None:
         """Stored config rows as a starting point; later changes win over them."""
-        rows = snapshot.select(F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("ts_ms"),
-                               *schemas.CONFIG.fieldNames(), F.lit(-1).alias("batch"))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").parquet(self.config_path))
+        rows = snapshot.select(F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("ts_ms"), *schemas.CONFIG.fieldNames())
+        self.config_store.fold(rows, -1)
         self.dims.apply(rows)
 
     def config(self, keep_rows: bool = False) -> StreamingQuery:
-        """Keep the config changes as a table and make or drop dimension tables as they say."""
+        """Keep the config in force as a numbered snapshot and make or drop dimension tables as its changes say."""
         def apply(batch: DataFrame, number: int) -> None:
             # A table is there before its config row is seen, and is gone only after its row is.
             self.dims.apply(batch, keep_rows, number)
-            (batch.withColumn("batch", F.lit(number)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.config_path))
+            self.config_store.fold(batch, number)
             self.dims.drop_gone(batch)
 
         rows = topics.config_log(self.lines("table_process"))
         return self._started(rows.writeStream.foreachBatch(apply), "config")
 
+    @property
+    def config_store(self) -> ConfigStore:
+        return ConfigStore(self.spark, self.config_path)
+
     def current_config(self, sink_type: str) -> DataFrame:
-        """Config in force now; read again for each micro-batch. Start `config` or `preload` first."""
-        return routing.current_config(self.spark.read.parquet(self.config_path), sink_type, ["batch", "ts_ms"])
+        """Config in force now: one snapshot, chosen anew for each micro-batch. Start `config` or `preload` first."""
+        return self.config_store.read().where(F.col("sink_type") == sink_type)
 
     def dim_rows(self) -> StreamingQuery:
         """Change rows of dimension tables into their tables."""
@@ -182,9 +203,6 @@ class Warehouse:
             return topics.video_log(lines)
         return topics.facts(lines, topic)
 
-    def window_path(self, table: str) -> str:
-        return f"{self.folder}/windows/{table}"
-
     def summary(self, table: str, keep_ms: int | None = None) -> StreamingQuery:
         """One window table. Dimensions are read again for each micro-batch of closed windows.
 
@@ -194,11 +212,11 @@ class Warehouse:
         job = summaries.JOBS[table]
 
         def store(batch: DataFrame, number: int) -> None:
-            sinks.store_windows(job.finish(batch, self.dims.read), number, self.window_path(table))
+            self.window_tables.store(table, job.finish(batch, self.dims.read), number)
 
         rows = states.windowed(table, self.facts(job.topic), self.dims.read, self.window_seconds,
                                self.delay, keep_ms)
         return self._started(rows.writeStream.foreachBatch(store), table)
 
     def windows(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.window_path(table))
+        return self.window_tables.read(table)

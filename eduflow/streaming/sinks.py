@@ -6,12 +6,13 @@ batch that runs again after a failure leaves no second copy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eduflow import session
+from eduflow import schemas, session
 from eduflow.functions import values as V
 from eduflow.operators import routing
+from eduflow.streaming import window_store
 
 # Size and retries of one write to a database.
 JDBC = {"batchsize": "1048576"}
@@ -55,27 +56,59 @@ def write_topics(rows: DataFrame, owner: str, name: str, fmt: str = "kafka", pat
     return started(writer, spark, owner, name, every)
 
 
-# window tables
+# keyed topics
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Change rows with `place`, which orders those of a key: the fact's own time and place, then its versions."""
+    seq = F.col("seq") if "seq" in rows.columns else F.lit(None)
+    return rows.withColumn("place", F.struct("ts", seq.cast(schemas.SEQ).alias("seq"), "version"))
 
-def stamped(rows: DataFrame) -> DataFrame:
-    """Add the processing time, in milliseconds."""
-    return rows.withColumn("ts", V.now_millis())
 
+def compacted(rows: DataFrame, key: str) -> DataFrame:
+    """Of the change rows of one micro-batch, those that a reader needs: the last of each key, and what it takes back.
+
+    A key whose fact first appears in the batch takes nothing back.
+    """
+    of_key = Window.partitionBy(key)
+    kept = placed(rows).withColumns({"_last": F.max("place").over(of_key), "_first": F.min("version").over(of_key)})
+    before = F.col("gone") & (F.col("_first") > 0) & (F.col("place") == F.struct(
+        F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), (F.col("_last.version") - 1).alias("version")))
+    return kept.where((F.col("place") == F.col("_last")) | F.coalesce(before, F.lit(False))).drop("_last", "_first").dropDuplicates(
+        [key, "version"])
 
-def store_windows(rows: DataFrame, batch: int, path: str) -> None:
-    """Write finished windows under the day they start on, replacing this batch's files."""
-    day = F.replace(F.substring("stt", 1, 10), F.lit("-"), F.lit(""))
-    # A day's rows come together, few to a file; a large day is still cut into several.
-    (stamped(rows).withColumn("dt", day).withColumn("batch", F.lit(batch)).hint("rebalance", F.col("dt"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt", "batch").parquet(path))
 
+def change_rows(rows: DataFrame, topic: str, key: str) -> DataFrame:
+    """(topic, key, value, place): each row as JSON text under its key, null where it takes a row back."""
+    fields = [c for c in rows.columns if c not in ("version", "gone", "place")]
+    value = F.when(~F.col("gone"), F.to_json(F.struct(*fields)))
+    return rows.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"), value.alias("value"), "place")
+
+
+def write_changes(rows: DataFrame, owner: str, name: str, key: str, fmt: str = "kafka", path: str | None = None,
+                  every: str | None = "3 seconds", **options: str) -> StreamingQuery:
+    """Change rows (with `version` and `gone`) to a keyed topic, those of a key in order.
+
+    Files are written under the number of the micro-batch, so a repeated one replaces itself; Kafka may repeat rows, and
+    its readers take the last of a key.
+    """
+    def publish(batch: DataFrame, number: int) -> None:
+        made = change_rows(compacted(batch, key), name, key).repartition("key").sortWithinPartitions("key", "place")
+        if fmt == "kafka":
+            made.select("topic", "key", "value").write.format("kafka").options(**options).save()
+        else:
+            (made.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").format(fmt).save(path))
+
+    return started(rows.writeStream.foreachBatch(publish), rows.sparkSession, owner, name, every)
+
+
+# window tables
 
 def store_windows_jdbc(rows: DataFrame, table: str, retries: int = 3, **options: str) -> None:
     """Append finished windows to a database table; at least once, as a retry may repeat rows."""
     for attempt in range(1 + retries):
         try:
-            return (stamped(rows).write.format("jdbc").options(**{**JDBC, **options, "dbtable": table})
+            return (window_store.stamped(rows).write.format("jdbc").options(**{**JDBC, **options, "dbtable": table})
                     .mode("append").save())
         except Exception:
             if attempt == retries:
@@ -110,33 +143,49 @@ class DimStore:
                                (("pk", (key or "id").lower()), ("extend", (extend or "").replace("'", "")),
                                 ("applied", -1 if applied is None else applied)))
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({fields}, _seq BIGINT, _ts BIGINT, _came BIGINT, "
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({fields}, _seq DECIMAL(38,0), _ts BIGINT, _came BIGINT, "
             f"_batch BIGINT) USING parquet PARTITIONED BY (_batch) TBLPROPERTIES ({properties})")
 
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def apply(self, changes: DataFrame, keep_rows: bool = False, batch: int | None = None) -> None:
-        """Follow config changes: create, drop, or drop and create again on an update.
+        """Follow config changes: create if it is not there, drop, or drop and create again on an update.
 
-        The rows are one micro-batch of a table that a person edits; they are applied in order.
-        With `keep_rows` an update that leaves the columns as they are keeps the table. A table
-        that this `batch` or a later one has made stays: the batch is running again.
+        The rows are one micro-batch; of each table only what they come to is carried out. With `keep_rows` an update
+        that leaves the columns as they are keeps the table. A table that this `batch` or a later one has made stays:
+        the batch is running again.
         """
-        for row in changes.where(F.col("sink_type") == "dim").orderBy("ts_ms").toLocalIterator():
-            if row.op == "u" and batch is not None and self.exists(row.sink_table) and int(
-                    self.property(row.sink_table, "applied", "-1")) >= batch:
+        for row in self.net(changes).toLocalIterator():
+            there = self.exists(row.name)
+            if there and row.reset and row.maker and batch is not None and int(self.property(row.name, "applied", "-1")) >= batch:
                 continue
-            same = keep_rows and self.exists(row.sink_table) and self.columns(row.sink_table) == [
-                c.strip().lower() for c in row.sink_columns.split(",")]
-            if row.op in ("d", "u") and not (row.op == "u" and same):
-                self.drop(row.sink_table)
-            if row.op != "d":
-                self.create(row.sink_table, row.sink_columns, row.sink_pk, row.sink_extend, batch)
+            same = keep_rows and there and not row.dropped and self.columns(row.name) == [
+                c.strip().lower() for c in row.maker.sink_columns.split(",")]
+            if row.reset and not same:
+                self.drop(row.name)
+            if row.maker:
+                self.create(row.name, row.maker.sink_columns, row.maker.sink_pk, row.maker.sink_extend, batch)
+
+    @staticmethod
+    def net(changes: DataFrame) -> DataFrame:
+        """What the changes of each dimension table come to: whether it is dropped on the way, and the row that makes it.
+
+        A row makes a table that is not there; so it is the first after the last drop, or the update that drops it.
+        """
+        by_table = Window.partitionBy("name").orderBy(*routing.change_order(changes))
+        placed = changes.where(F.col("sink_type") == "dim").withColumn("name", F.lower("sink_table")).withColumn(
+            "at", F.row_number().over(by_table))
+        reset = F.max(F.when(F.col("op").isin("u", "d"), F.col("at"))).over(Window.partitionBy("name"))
+        placed = placed.withColumn("reset", F.coalesce(reset, F.lit(0)))
+        makes = (F.col("op") != "d") & (F.col("at") >= F.col("reset"))
+        maker = F.min_by(F.struct("sink_columns", "sink_pk", "sink_extend"), F.when(makes, F.col("at")))
+        return placed.groupBy("name").agg((F.max("reset") > 0).alias("reset"), F.max(F.col("op") == "d").alias("dropped"),
+                                          maker.alias("maker"))
 
     def drop_gone(self, changes: DataFrame) -> None:
         """Drop the tables whose last change in these is a delete."""
-        last = routing.latest(changes.where(F.col("sink_type") == "dim"), ["sink_table"], ["ts_ms"])
+        last = routing.latest(changes.where(F.col("sink_type") == "dim"), ["sink_table"], routing.change_order(changes))
         for (table,) in last.where("op = 'd'").select("sink_table").toLocalIterator():
             self.drop(table)
 
@@ -156,7 +205,7 @@ class DimStore:
             raise ValueError("rows of a dimension need `seq`, their place in the source")
         data = F.transform_keys("data", lambda key, _: F.lower(key))
         fields = [data[c].alias(c) for c in self.columns(table)]
-        (rows.select(*fields, F.col("seq").cast("bigint").alias("_seq"), F.col("ts").alias("_ts"),
+        (rows.select(*fields, F.col("seq").cast(schemas.SEQ).alias("_seq"), F.col("ts").alias("_ts"),
                      F.lit(batch).cast("bigint").alias("_came"), F.lit(batch).cast("bigint").alias("_batch"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name(table)))
 

@@ -41,15 +41,31 @@ def test_corrections_add_up_to_the_last_row(spark, shape):
     assert dict(map(tuple, fixed.groupBy("key").agg(F.sum("amount")).collect())) == last
 
 
-def test_no_job_runs_while_a_plan_is_built(spark, inputs):
-    tracker = spark.sparkContext.statusTracker()
-    facts, dims = inputs.order_details(), {}
-    for name in ("dim_course_info", "dim_base_subject_info", "dim_base_category_info"):
-        dims[name] = inputs.dim(name)
-    spark.sparkContext.setJobGroup("plan", "")
-    summaries.summary("dws_trade_course_order_window", facts, dims.get)
-    assert not tracker.getJobIdsForGroup("plan")
-    spark.sparkContext._jsc.sc().clearJobGroup()
+@pytest.fixture
+def apart(spark):
+    """Ranges stay as they are, however few their bytes."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_a_hot_key_carries_a_row_per_task(spark, apart):
+    """A million rows of one key, one a second: as many carried rows as ranges, and ranges of about equal size."""
+    rows = spark.range(1_000_000).selectExpr("'hot' AS key", "id AS ts", "id AS seq", "id % 7 AS amount")
+    there = lookback.placed(rows, "key", ["ts", "seq"])
+    parts = [r["count"] for r in there.groupBy(lookback.PART).count().collect()]
+    assert 1 < len(parts) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(parts) < 2 * sum(parts) / len(parts)
+    assert lookback.carried(there, F.struct("ts")).count() == len(parts)
+    got = lookback.with_previous(rows, "key", ["ts", "seq"])
+    assert got.where("ts = 0 AND prev IS NULL OR prev.ts = ts - 1").count() == 1_000_000
+
+
+def test_exact_copies_are_dealt_out(spark, apart):
+    rows = spark.range(200_000).selectExpr("'hot' AS key", "1 AS ts", "1 AS seq", "5 AS amount").repartition(4)
+    parts = [r["count"] for r in lookback.placed(rows, "key", ["ts", "seq"]).groupBy(lookback.PART).count().collect()]
+    assert max(parts) < 150_000
 
 
 def test_corrections_need_a_place(spark):

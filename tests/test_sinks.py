@@ -1,6 +1,9 @@
 """Window tables, topics and preloaded configuration."""
 
-from pyspark.sql import functions as F
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
 
 from eduflow import schemas
 from eduflow.functions import values as V
@@ -8,24 +11,92 @@ from eduflow.plans import report
 from eduflow.sources import topics
 from eduflow.streaming import sinks
 from eduflow.streaming.jobs import Warehouse
+from eduflow.streaming.window_store import WindowStore
+
+
+WINDOWS = "stt string, edt string, source_name string, final_amount decimal(18,2)"
+
+
+def windows_of(spark, *rows):
+    """(day of the year, second, amount) to rows of a window table; a month has 28 days here."""
+    made = [(f"2024-{1 + (d - 1) // 28:02d}-{1 + (d - 1) % 28:02d} 00:00:{s:02d}", "", "a", Decimal(n)) for d, s, n in rows]
+    return spark.createDataFrame(made, WINDOWS)
+
+
+def held(store, day=None):
+    return sorted((r.stt[5:10], int(r.final_amount)) for r in store.read("t", day).collect())
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    path = str(tmp_path / "windows")
-    schema = "stt string, edt string, source_name string, final_amount decimal(18,2)"
-    first = spark.createDataFrame([("2024-01-01 23:59:55", "2024-01-02 00:00:00", "a", 1),
-                                   ("2024-01-02 00:00:00", "2024-01-02 00:00:05", "a", 2)],
-                                  "stt string, edt string, source_name string, n int").select(
-        "stt", "edt", "source_name", F.col("n").cast("decimal(18,2)").alias("final_amount"))
-    second = spark.createDataFrame([], schema)
-    sinks.store_windows(first, 0, path)
-    sinks.store_windows(first, 0, path)
-    sinks.store_windows(second, 1, path)
-    sinks.store_windows(first.where("stt >= '2024-01-02'"), 2, path)
-    stored = spark.read.parquet(path)
-    assert stored.count() == 3
-    assert [float(r.final_amount) for r in report.order_by_source(stored, "20240102").collect()] == [4.0]
-    assert report.stored_order_by_source(spark, path).count() == 0
+    store = WindowStore(spark, "windows_repeat", str(tmp_path / "w"))
+    first = windows_of(spark, (1, 55, 1), (2, 0, 2))
+    store.store("t", first, 0)
+    store.store("t", first, 0)
+    store.store("t", spark.createDataFrame([], WINDOWS), 1)
+    store.store("t", first.where("stt >= '2024-01-02'"), 2)
+    assert held(store) == [("01-01", 1), ("01-02", 2), ("01-02", 2)] and held(store, "20240102") == [("01-02", 2), ("01-02", 2)]
+    assert [int(r.final_amount) for r in report.stored_order_by_source(store, "t", "20240102").collect()] == [4]
+    assert report.stored_order_by_source(store, "t").count() == 0
+    assert store.read("t", "20240102").columns == ["stt", "edt", "source_name", "final_amount", "ts", "dt"]
+
+
+def test_a_report_reads_one_partition(spark, tmp_path):
+    store = WindowStore(spark, "windows_one", str(tmp_path / "w"))
+    store.store("t", windows_of(spark, *[(d, 0, d) for d in range(1, 85)]), 0)
+    plan = report.stored_order_by_source(store, "t", "20240107")._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan and plan.count("FileScan") == 1
+    scan = store.read("t", "20240107")
+    assert len(scan.inputFiles()) == 1 and "mon=202401/batch=0" in scan.inputFiles()[0]
+    assert held(store, "20240107") == [("01-07", 7)]
+
+
+def test_fifty_batches_leave_few_files(spark, tmp_path):
+    store = WindowStore(spark, "windows_many", str(tmp_path / "w"), fold_every=5)
+    want = []
+    for n in range(50):
+        rows = [(27 + n // 20, n, n), (28 + n // 20, n, 100 + n)]
+        store.store("t", windows_of(spark, *rows), n)
+        want += [(f"{1 + (d - 1) // 28:02d}-{1 + (d - 1) % 28:02d}", x) for d, _, x in rows]
+        assert max(len(b) for b in store.partitions("t").values()) <= 12
+    assert held(store) == sorted(want)
+    assert held(store, "20240128") == sorted(w for w in want if w[0] == "01-28")
+    store.fold("t")
+    store.fold("t")
+    assert {d: len(b) for d, b in store.partitions("t").items()} == {"202401": 1, "202402": 1}
+    assert len(list((tmp_path / "w").rglob("*.parquet"))) == 2 and held(store) == sorted(want)
+
+
+def test_folded_batches_that_run_again_change_nothing(spark, tmp_path):
+    store = WindowStore(spark, "windows_again", str(tmp_path / "w"), fold_every=100)
+    for n in range(3):
+        store.store("t", windows_of(spark, (1, n, n)), n)
+    before, want = store.read("t").cache(), [("01-01", 0), ("01-01", 1), ("01-01", 2)]
+    files = before.inputFiles()
+    store.fold("t")
+    assert all(Path(f.removeprefix("file:")).exists() for f in files)   # a reader that has begun finds its files
+    assert held(store) == want
+    store.store("t", windows_of(spark, (1, 1, 1)), 1)                   # is folded already
+    store.store("t", windows_of(spark, (1, 3, 3)), 3)
+    assert held(store) == [*want, ("01-01", 3)]
+    store.store("t", windows_of(spark, (1, 3, 3)), 3)                   # as it was before the commit
+    store.fold("t")
+    assert held(store, "20240101") == [*want, ("01-01", 3)]
+
+
+def test_a_fold_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    store = WindowStore(spark, "windows_broken", str(tmp_path / "w"), fold_every=100)
+    for n in range(4):
+        store.store("t", windows_of(spark, (1, n, n), (30, n, 10 + n)), n)
+    want = held(store)
+    monkeypatch.setattr(store, "_write", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.fold("t")
+    monkeypatch.undo()
+    assert held(store) == want
+    store.fold("t")                                                      # complete, but nothing is dropped yet
+    assert held(store) == want and max(len(b) for b in store.partitions("t").values()) == 5
+    store.fold("t")
+    assert held(store) == want and max(len(b) for b in store.partitions("t").values()) == 1
 
 
 def test_topic_rows(spark):

@@ -209,7 +209,7 @@ def test_trade(warehouse):
     assert got == [("1", "site one", 1, 15.5)]
     assert rows(warehouse, "dws_trade_pay_suc_window", "stt", "province_id", "user_count") == [
         ("2024-01-01 00:00:05", "11", 1), ("2024-01-01 00:00:05", "99", 1)]
-    day = report.stored_order_by_source(warehouse.spark, warehouse.window_path("dws_trade_source_order_window"), "20240101")
+    day = report.stored_order_by_source(warehouse.window_tables, "dws_trade_source_order_window", "20240101")
     assert [(r.source_name, float(r.final_amount)) for r in day.collect()] == [("site one", 15.5)]
 
 
