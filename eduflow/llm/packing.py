@@ -37,23 +37,35 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     """One row per piece of each document's ids, with the CRC-32 of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, width = word_tokens(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        words = word_tokens(tokenizer)
         for batch in batches:
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), KINDS, strict=True)],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+            at = 0
+            for found, sizes in words.encode(batch.column(1)):
+                docs = batch.column(0).slice(at, len(sizes))
+                at += len(sizes)
+                ends = np.cumsum(sizes + 1)
+                ids = np.full(ends[-1], end_id, "<u4")
+                inner = np.ones(len(ids), bool)
+                inner[ends - 1] = False
+                ids[inner] = found
+                yield cut(docs, sizes + 1, memoryview(ids).cast("B"))
+
+    def cut(docs: pa.Array, lengths: np.ndarray, ids: memoryview) -> pa.RecordBatch:
+        many = -(-lengths // capacity)
+        whose = np.repeat(np.arange(len(lengths)), many)
+        piece = np.arange(len(whose)) - np.repeat(np.cumsum(many) - many, many)
+        start = piece * capacity
+        length = np.minimum(lengths[whose] - start, capacity)
+        first = (np.cumsum(lengths) - lengths)[whose] + start
+        crcs = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [docs.take(pa.array(whose)), *[pa.array(x, k) for x, k in zip((piece, start, length, crcs), KINDS, strict=True)]],
+            ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
-KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def knapsack(worth: np.ndarray, most: np.ndarray, units: int) -> np.ndarray:

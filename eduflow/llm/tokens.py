@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterator
 from operator import add
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Letters whose lower case and normal form is one letter, followed by marks that are pre-tokens of their own.
@@ -119,20 +121,33 @@ class WordTokens:
                     [x.decode() for x in other], add_special_tokens=False), strict=True):
                 self.known[word] = np.array(seen.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterable[bytes]:
-        """Ids of each whole text; null is empty."""
-        at = 0
+    def spelled(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids of all words end to end."""
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
+        self.known[b""] = b""
+        self.learn(list(set(words).difference(self.known)))
+        raw = list(map(self.known.__getitem__, words))
+        return np.fromiter(map(len, raw), np.int64, len(raw)) // 4, np.frombuffer(b"".join(raw), "<u4")
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Block by block: the ids of whole texts end to end, and how many each text has; null is empty.
+
+        A block's distinct words are looked up once; its ids are gathered from theirs.
+        """
+        texts = pc.fill_null(texts, "")
+        ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
         while at < len(texts):
-            block, chars = [], 0
-            while at < len(texts) and (not block or chars < BATCH_CHARS):
-                block.append((texts[at] or "").encode().split())
-                chars += len(texts[at] or "")
-                at += 1
-            if len(self.known) > MOST_WORDS:
-                self.known.clear()
-            self.learn(list(set().union(*block).difference(self.known)))
-            for words in block:
-                yield b"".join(map(self.known.__getitem__, words))
+            done = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, done + BATCH_CHARS, side="right")))
+            split = pc.ascii_split_whitespace(texts.slice(at, end - at))
+            kinds = split.flatten().dictionary_encode()
+            size, ids = self.spelled(kinds.dictionary.cast(pa.binary()).to_pylist())
+            spelled = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(size)), pa.array(ids))
+            found = spelled.take(kinds.indices)
+            bounds = found.offsets.to_numpy()[split.offsets.to_numpy()]
+            yield found.flatten().to_numpy(), np.diff(bounds)
+            at = end
 
 
 WORDS: dict[str, WordTokens] = {}
