@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 import numpy as np
@@ -15,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from eduflow import session
+
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,13 +33,9 @@ def importable(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below `spark.checkpoint.dir`; where that is unset (tests), it is set to one of this machine."""
+    """A new folder below `spark.checkpoint.dir`; where that is unset, a local session (tests) gets one of this machine."""
     importable(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return session.work_folder(spark)
 
 
 def stored(df: DataFrame, *by: str) -> DataFrame:
@@ -47,7 +43,16 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
     path = shared_folder(df.sparkSession)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discarded(rows: DataFrame) -> None:
+    """Remove a stored table of which nothing that is still to be computed is made."""
+    jvm = rows.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(rows.stored_at)
+    path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(text: Column) -> Column:
