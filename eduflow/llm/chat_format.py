@@ -4,7 +4,7 @@ A turn is `<|turn|>role`, a line feed, its content, `<|end|>`. The content is wh
 parts, in order: text is escaped; an image, audio or document part becomes a placeholder, and its reference with
 the number of tokens that the placeholder stands for is recorded; the k-th placeholder of a conversation belongs to
 its k-th attachment. Control strings inside texts get a backslash after their first character, and a backslash is
-doubled, so that one pass over `\\x` pairs restores every text.
+doubled, so that one pass over `\\x` pairs restores every text. In a role, a line feed gets a backslash before it.
 
 The mask covers each assistant text. A span names its turn, the code points before it in the whole string and in
 its turn's piece, and its length. Texts of several parts give a span each.
@@ -35,6 +35,11 @@ def escaped(text: Column) -> Column:
     return text
 
 
+def escaped_role(role: Column) -> Column:
+    """As a text, on one line: its first line feed without a backslash ends it."""
+    return F.replace(escaped(role), F.lit("\n"), F.lit("\\\n"))
+
+
 def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
@@ -73,7 +78,7 @@ def formatted(turns: DataFrame, learned_role: str = "assistant") -> DataFrame:
     flat = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.transform(
         F.coalesce("parts", F.array().cast(f"array<{PART}>")), visited).alias("seen"))
     content = F.array_join(F.transform("seen", lambda x: x["piece"]), "")
-    head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit("\n"))
+    head = F.concat(F.lit(TURN), escaped_role(F.col("role")), F.lit("\n"))
     flat = flat.select("conv_id", "turn", "role", "seen", F.concat(head, content, F.lit(END)).alias("piece"),
                        F.char_length(head).alias("head"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "piece")
@@ -103,9 +108,10 @@ def formatted(turns: DataFrame, learned_role: str = "assistant") -> DataFrame:
 def read_turns(text: Column) -> Column:
     """Array of (role, text) read from a formatted string, unescaped; placeholders stay in the text."""
     pieces = F.filter(F.split(text, r"<\|end\|>", -1), lambda x: x != "")
+    head = lambda x: F.regexp_extract(x, r"(?s)^<\|turn\|>(?:\\.|[^\\\n])*\n", 0)
     return F.transform(pieces, lambda x: F.struct(
-        unescaped(F.substr(F.substring_index(x, "\n", 1), F.lit(len(TURN) + 1))).alias("role"),
-        unescaped(F.substr(x, F.char_length(F.substring_index(x, "\n", 1)) + 2)).alias("text")))
+        unescaped(F.substr(head(x), F.lit(len(TURN) + 1), F.char_length(head(x)) - len(TURN) - 1)).alias("role"),
+        unescaped(F.substr(x, F.char_length(head(x)) + 1)).alias("text")))
 
 
 def masked_text(text: Column, spans: Column) -> Column:

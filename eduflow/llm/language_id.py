@@ -207,10 +207,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learned(docs: DataFrame, sample_rows: int = 40, sample_chars: int = 1000) -> dict[str, list[str]]:
-    """The sample of each language, from documents with a label that are not held out."""
-    rows = docs.where("lang is not null and text is not null and doc_id is not null").where(
-        ~held_out(F.col("doc_id"))).select("lang", F.xxhash64(F.lit(7), "doc_id").alias("hash"), "doc_id",
-                                           F.substring("text", 1, sample_chars).alias("piece"))
+    """The sample of each language, from documents with a letter and a label that are not held out.
+
+    Of a longer text, `sample_chars` characters from a place that the hash of its id names.
+    """
+    taught = docs.where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    place = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.greatest(F.lit(1), F.char_length("text") - sample_chars + 1)) + 1
+    rows = taught.select("lang", F.xxhash64(F.lit(7), "doc_id").alias("hash"), "doc_id", F.substr(
+        "text", place.cast("int"), F.lit(sample_chars)).alias("piece"))
     first = Window.partitionBy("lang").orderBy("hash", "doc_id", "piece")
     found = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_rows).select("lang", "piece")
     out: dict[str, list[str]] = {}

@@ -7,8 +7,9 @@ window that equals one of the template's. Windows are sketched by MinHash and cu
 many bands as make two windows of similarity LEAST_ALIKE meet with probability MEET. Where bands meet, the template's
 place in the document is known up to its length, and the share of its shingles found there decides.
 
-A template matches a document if a place holds `containment` of its shingles; places of one template that overlap
-are one match, the best. Null or empty text has no matches, nor do texts or templates of fewer than five words. Repeated
+Around these places the template's shingles are read off in their order: where the order starts again, or after a gap
+longer than the template, another copy begins. A copy that holds `containment` of the template's shingles is a match, so
+copies side by side are as many matches. Null or empty text has no matches, nor do texts or templates of fewer than five words. Repeated
 rows are judged each by itself. Only doc_id and text are read. The templates are kept in each task: their number is
 the caller's to bound (a fixed list here).
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -65,6 +67,12 @@ class Templates:
         self.names = sorted(k for k, v in texts.items() if len(shingles_of(v)))
         self.shingles = [shingles_of(texts[k]) for k in self.names]
         self.sets = [np.unique(x) for x in self.shingles]
+        self.places = []
+        for row in self.shingles:
+            at: dict[int, list[int]] = defaultdict(list)
+            for place, shingle in enumerate(row.tolist()):
+                at[shingle].append(place)
+            self.places.append(at)
         self.containment = containment
         self.classes: dict[int, tuple] = {}
         found: dict[int, dict[int, set]] = defaultdict(lambda: defaultdict(set))
@@ -104,25 +112,33 @@ class Templates:
                     out.add((number, int(at) * step, size))
         return out
 
+    def copies(self, number: int, row: np.ndarray, near: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(first word, end word, share) of each copy of a template among the shingles marked `near`."""
+        reach, places = len(self.shingles[number]) + SIZE, self.places[number]
+        spots = np.flatnonzero(near & np.isin(row, self.sets[number])).tolist()
+        first = last = at = None
+        held: set[int] = set()
+        for spot in spots:
+            order = places[int(row[spot])]
+            on = None if at is None or spot - last > reach else next((p for p in order if p > at), None)
+            if on is None:
+                if held:
+                    yield first, last + SIZE, len(held) / len(self.sets[number])
+                first, on, held = spot, order[0], set()
+            last, at = spot, on
+            held.add(int(row[spot]))
+        if held:
+            yield first, last + SIZE, len(held) / len(self.sets[number])
+
     def matches(self, row: np.ndarray) -> list[tuple[str, int, int, float]]:
         """(template, first word, end word, containment) in a document's shingles."""
-        best: dict[int, list] = defaultdict(list)
-        for number, at, size in sorted(self.candidates(row)):
-            wanted = self.sets[number]
-            reach = len(self.shingles[number])
-            lo, hi = max(0, at + size - reach - SIZE), min(len(row), at + reach + SIZE)
-            part = row[lo:hi]
-            inside = np.isin(part, wanted)
-            share = len(np.unique(part[inside])) / len(wanted)
-            if share >= self.containment:
-                places = np.flatnonzero(inside) + lo
-                found = [int(places[0]), int(places[-1]) + SIZE, share]
-                if best[number] and found[0] < best[number][-1][1]:
-                    if share > best[number][-1][2]:
-                        best[number][-1] = found
-                else:
-                    best[number].append(found)
-        return sorted((self.names[k], *x) for k, rows in best.items() for x in rows)
+        near: dict[int, np.ndarray] = {}
+        for number, at, size in self.candidates(row):
+            reach = len(self.shingles[number]) + SIZE
+            marked = near.setdefault(number, np.zeros(len(row), bool))
+            marked[max(0, at + size - reach) : at + reach] = True
+        return sorted((self.names[k], *copy) for k, marked in near.items() for copy in self.copies(k, row, marked)
+                      if copy[2] >= self.containment)
 
 
 BUILT: dict[tuple, Templates] = {}
@@ -137,6 +153,11 @@ def built(texts: dict[str, str], containment: float) -> Templates:
     return BUILT[key]
 
 
+def templates_of(table: DataFrame) -> dict[str, str]:
+    """Templates from a table (name, text), which goes to every task: as many as a task can hold."""
+    return {r.name: r.text for r in table.where("name is not null and text is not null").select("name", "text").collect()}
+
+
 def found(docs: DataFrame, keep: list[str], templates: dict[str, str] = TEMPLATES,
           containment: float = CONTAINMENT) -> DataFrame:
     """Struct `row` of the kept columns, and the matches in words, of each document."""

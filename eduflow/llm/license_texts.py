@@ -26,9 +26,19 @@ This program is distributed in the hope that it will be useful, but WITHOUT ANY
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
 You should have received a copy of the GNU General Public License along with this program. If not, see
 <https://www.gnu.org/licenses/>.""",
+    "AGPL-3.0/notice": """This program is free software: you can redistribute it and/or modify it under the terms of the
+GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+your option) any later version.""",
+    "CC-BY-SA-4.0/line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0/line": """To the extent possible under law, the author has waived all copyright and related or neighboring rights
+to this work.""",
     "ISC/text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
 hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "LGPL-3.0/notice": """This library is free software: you can redistribute it and/or modify it under the terms of the GNU
+Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version.""",
     "MIT/line": "Released under the MIT License.",
+    "MIT/licensed": "Licensed under the MIT License.",
     "MIT/text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
@@ -37,6 +47,9 @@ The above copyright notice and this permission notice shall be included in all c
 Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "Unlicense/text": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+any purpose, commercial or non-commercial, and by any means.""",
     "MPL-2.0/notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
 the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }

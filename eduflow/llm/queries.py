@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eduflow.llm import (chat_format, decontaminate, language_id, license_scan, line_dedup, merkle_manifest, near_dedup, packing,
                          quality_classifier, repetition, token_counts, warc_zstd, whitening)
@@ -16,9 +17,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    extra = spark.createDataFrame(
-        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
-        "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat_format.digests(given.unionByName(extra))
 
@@ -98,7 +99,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('<|turn|>') + length({ESCAPED.format('role')}) + 1 + length({ESCAPED.format('text')})
+  CAST(sum(length('<|turn|>') + length(replace({ESCAPED.format('role')}, chr(10), '\\' || chr(10))) + 1 + length({ESCAPED.format('text')})
     + length('<|end|>')) AS BIGINT) AS formatted_chars
 FROM given GROUP BY conv_id""",
     "op2_warc_zstd": """

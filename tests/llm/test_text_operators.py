@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,12 +73,20 @@ def test_chat_edges(spark):
         turns = sorted(((t is not None, t or 0, role or "", text or "") for c, t, role, text in rows if c == conv))
         said = "".join(f"{role}\n{text}\n" for _, _, role, text in turns)
         loss = "".join(text for _, _, role, text in turns if role == "assistant")
-        if "\n" in "".join(role for _, _, role, _ in turns):
-            continue  # a role of two lines cannot be told from its text; it is read up to the first line feed
         assert (found[conv].n_turns, found[conv].turns_sha256, found[conv].loss_chars, found[conv].loss_sha256) == (
             len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+def test_roles_are_read_back(spark):
+    rows = [(i, 0, role, text) for i, (role, text) in enumerate(
+        (role, text) for role in ("as\nsistant", "\n", "a\\\nb", "a\\", "\\\\\n\n", "<|end|>\n<|turn|>", "assistant")
+        for text in ("hello", "", "\nx", "\\\n<|end|>\n"))]
+    made = chat_format.formatted(chat_format.text_parts(chats(spark, [(*r, "?", 1) for r in rows])))
+    got = {r.conv_id: [tuple(x) for x in r.turns] for r in made.select(
+        "conv_id", chat_format.read_turns(made["formatted"]).alias("turns")).collect()}
+    assert got == {i: [(role, text)] for i, _, role, text in rows}
+
+
 def test_chat_parts(spark):
     parts = f"array<{chat_format.PART}>"
     text = lambda x: ("text", x, None, None, None, None, None)
@@ -134,8 +143,10 @@ def test_word_tokens_are_the_librarys():
     letters = "abXYtsSéÉßñ.,;:!?'’\"-_019\n\t\r\x0b\x0c\x1c\x1f\x85\xa0 ̧́ªºǅΣςк中İıK²½\U0001d4b3<|endoftext|>"
     texts = ["".join(rng.choice(letters) for _ in range(150)) for _ in range(400)]
     texts += ["", LONG, "x" * 500, "It's WE'LL a.'s é. a<|endoftext|>b <|ENDOFTEXT|>", " ", "ﬁ…„“"]
-    got = [np.frombuffer(x, "<u4").tolist() for x in word_tokens(PATH).encode(texts)]
-    assert got == [LIBRARY.encode(x, add_special_tokens=False).ids for x in texts]
+    got = []
+    for ids, sizes in word_tokens(PATH).encode(pa.array([*texts, None])):
+        got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [LIBRARY.encode(x, add_special_tokens=False).ids for x in [*texts, ""]]
 
 
 def test_token_counts(spark, edge, docs):
@@ -231,6 +242,60 @@ def test_near_copies_of_one_text(spark):
     assert Counter(map(tuple, near_dedup.classes(made).collect())) == groups(rows)
 
 
+def far_copies(n, rng):
+    """Copies of one text, each so far changed that hardly any two are linked, but most share a bucket."""
+    base = [f"b{i}" for i in range(300)]
+    rows = [(0, " ".join(base), "")]
+    for i in range(1, n):
+        words = list(base)
+        for at in rng.sample(range(300), 14):
+            words[at] = f"c{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words), ""))
+    return rows
+
+
+def test_pairs_grow_with_the_group(spark, monkeypatch):
+    made, checked = {}, near_dedup.links
+    for n in (60, 240):
+        rows, seen = far_copies(n, random.Random(n)), []
+
+        def links(docs, nodes, pairs, sets=None):
+            seen.append(pairs.count())
+            return checked(docs, nodes, pairs, sets)
+
+        monkeypatch.setattr(near_dedup, "links", links)
+        got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+        made[n] = sum(seen)
+        if n == 60:
+            assert Counter(map(tuple, got)) == groups(rows)
+    assert made[240] < 6 * made[60] and made[240] < 20 * 240
+
+
+def test_prefixes_meet():
+    """Two sets that are linked share a difference to any middle, in both prefixes, unless both are linked to the nearest."""
+    rng = np.random.default_rng(11)
+    counts, met = rng.integers(0, 50, near_dedup.COUNTERS), 0
+    draw = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    near = lambda x, y: near_dedup.linked(x.view(np.int64), y.view(np.int64))
+    for _ in range(1500):
+        base = np.unique(draw(rng.integers(1, 60)))
+
+        def changed(of):
+            keep = of[rng.random(len(of)) > rng.random() * 0.4]
+            return np.unique(np.concatenate([keep, draw(rng.integers(0, 1 + len(of) // 3))]))
+
+        middle = changed(base)[: rng.integers(0, 80)]
+        sets = [x for x in (changed(base), changed(base), changed(changed(base)), base) if len(x)]
+        sets += [x for x in map(changed, sets) if len(x)]
+        nearest = min(sets, key=lambda x: near_dedup.distance(x, middle))
+        for i, x in enumerate(sets):
+            for y in sets[:i]:
+                if near(x, y) and not (near(x, nearest) and near(y, nearest)):
+                    met += 1
+                    assert np.intersect1d(near_dedup.prefix(x, middle, counts), near_dedup.prefix(y, middle, counts)).size
+    assert met > 300
+
+
 def test_rows_of_one_id_are_one_document(spark):
     """Whatever texts an id has, its own first ones and none among them, all of them are in one component."""
     other = [" ".join(f"{c}{j}" for j in range(20)) for c in "abcdef"]
@@ -432,6 +497,30 @@ def test_license_scan(spark, edge, docs):
         assert Counter((r.doc_id, r.licenses) for r in got) == want
 
 
+def test_copies_side_by_side_are_counted():
+    tables = license_scan.built(license_scan.TEMPLATES, license_scan.CONTAINMENT)
+    words = {k: decontaminate.words_of(v) for k, v in license_scan.TEMPLATES.items()}
+    text = lambda *parts: b" ".join(b" ".join(p) for p in parts).decode()
+    for name in ("MIT/line", "GPL-3.0/line", "ISC/text", "Apache-2.0/notice"):
+        for times in (1, 2, 3, 4, 7):
+            for gap in ([], [b"and"], [b"so", b"on"] * 40):
+                row = license_scan.shingles_of(text(*[x for _ in range(times) for x in (words[name], gap)]))
+                found = [m for m in tables.matches(row) if m[0] == name]
+                step = len(words[name]) + len(gap)
+                assert [m[1:3] for m in found] == [(k * step, k * step + len(words[name])) for k in range(times)]
+    # a piece of it before a whole one is no match of its own
+    whole = words["ISC/text"]
+    row = license_scan.shingles_of(text(whole[10:20], whole, whole[:9]))
+    assert [m[1:3] for m in tables.matches(row) if m[0] == "ISC/text"] == [(10, 10 + len(whole))]
+
+
+def test_licenses_of_a_table(spark):
+    table = spark.createDataFrame([("X-1", "one two three four five six seven"), ("X-2", None)], "name string, text string")
+    docs = spark.createDataFrame([(1, "so one two three four five six seven end"), (2, "MIT")], "doc_id long, text string")
+    got = license_scan.found(docs, ["doc_id"], license_scan.templates_of(table)).collect()
+    assert {r.row.doc_id: [m.template for m in r.matches] for r in got} == {1: ["X-1"], 2: []}
+
+
 def test_edited_licenses_are_found():
     rng = random.Random(6)
     tables = license_scan.built(license_scan.TEMPLATES, license_scan.CONTAINMENT)
@@ -529,6 +618,55 @@ def test_pipeline_stages(spark, edge, tmp_path):
     assert {r.doc_id for r in packed} == {d for d, _ in seen[3]}
 
 
+def test_pipeline_without_labels(spark):
+    """Where no language is told, documents with a letter stay."""
+    docs = spark.createDataFrame([(1, "a text", None), (2, "12 !", None), (3, None, None), (4, "п", None)],
+                                 "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.known_language(spark, docs, DATA).collect()) == [1, 4]
+
+
+def test_pipeline_by_brute_force(spark):
+    """Every stage of the given documents against plain versions of them, one after the other."""
+    now = common.table(spark, DATA, "documents")
+    plain = [(r.doc_id, r.text, r.lang) for r in now.collect()]
+    # language ID: documents without a letter go
+    now = common.stored(corpus_pipeline.known_language(spark, now, DATA))
+    plain = [r for r in plain if re.search(r"[^\W\d_]", r[1] or "")]
+    assert Counter((r.doc_id, r.text) for r in now.collect()) == Counter(r[:2] for r in plain)
+    # line dedup
+    want = kept_lines(plain)
+    now = common.stored(corpus_pipeline.line_dedup(spark, now, DATA))
+    plain = [(r.doc_id, r.text, r.lang) for r in now.collect()]
+    digests = Counter((d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t, _ in plain)
+    assert digests == Counter({(d, h): n for (d, _, _, h), n in want.items()})
+    # near duplicates: the least id of each group, and all texts without words
+    kept = {d for d, _, _, k in groups(plain) if k}
+    now = common.stored(corpus_pipeline.near_duplicates(spark, now, DATA))
+    plain = [r for r in plain if r[0] in kept]
+    assert Counter((r.doc_id, r.text) for r in now.collect()) == Counter(r[:2] for r in plain)
+    # benchmark passages
+    items = [decontaminate.words_of(r.text) for r in common.table(spark, DATA, "benchmark").collect()]
+    wanted = {tuple(w[i : i + 10]) for w in items for i in range(max(1, len(w) - 9)) if w}
+    sizes = {len(x) for x in wanted}
+
+    def clean(text):
+        words = decontaminate.words_of(text)
+        return not any(tuple(words[i : i + n]) in wanted for n in sizes for i in range(len(words) - n + 1))
+
+    now = common.stored(corpus_pipeline.without_benchmarks(spark, now, DATA))
+    plain = [r for r in plain if clean(r[1])]
+    assert Counter((r.doc_id, r.text) for r in now.collect()) == Counter(r[:2] for r in plain)
+    # packing
+    want = Counter()
+    for doc, text, _ in plain:
+        ids = [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
+        for k, at in enumerate(range(0, len(ids), 4096)):
+            part = np.array(ids[at : at + 4096], "<u4").tobytes()
+            want[(doc, k, at, len(part) // 4, zlib.crc32(part))] += 1
+    got = corpus_pipeline.run(spark, DATA).collect()
+    assert Counter(tuple(r)[:5] for r in got) == want
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, DATA)
     assert rows.count() > 0 and rows.where("length > 4096 or offset + length > 4096").count() == 0
