@@ -51,7 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the shared one; a local session that names none gets one of this machine."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not spark.conf.get("spark.checkpoint.dir", None) and (master == "local" or master.startswith("local[")):
         spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return f"{shared_folder(spark)}/eduflow/work/{uuid.uuid4().hex}"
 
