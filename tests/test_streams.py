@@ -67,6 +67,19 @@ def test_rows_of_one_second_keep_their_order(spark, tmp_path):
     assert [(c, a) for _, c, _, a in got][:8] == [(f"c{k}", 15.0) for k in range(8)]
 
 
+def test_keys_that_share_a_state_are_corrected_and_forgotten_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(states, "GROUPS", 1)
+    got = orders(spark, tmp_path, 10_000,
+                 [order(1, 10), order(1, 20, "e", "b")], [order(2, 12), order(2, 25, "e", "b")],
+                 [order(100, 1, "f", "f"), order(100, 4, "e", "b")],    # `e` has come, `d` is forgotten after this
+                 [order(101, 1, "g", "g")],
+                 [order(102, 5), order(102, 6, "e", "b")],
+                 [order(200, 0, "z", "z")], [order(300, 0, "y", "z")])
+    assert got == [("00:00:00", "b", 1, 4.0), ("00:00:00", "c", 1, 12.0), ("00:01:40", "b", 1, 2.0),
+                   ("00:01:40", "c", 1, 5.0), ("00:01:40", "f", 1, 1.0), ("00:01:40", "g", 1, 1.0),
+                   ("00:03:20", "z", 1, 0.0)]
+
+
 def test_a_fact_sent_again_a_day_later_adds_nothing(spark, tmp_path):
     got = orders(spark, tmp_path, None, [order(1, 10)], [order(90_000, 10)], [order(90_100, 10)],
                  [order(200_000, 0, "z", "z")], [order(300_000, 0, "y", "z")])
