@@ -71,3 +71,23 @@ def test_exact_copies_are_dealt_out(spark, apart):
 def test_corrections_need_a_place(spark):
     with pytest.raises(ValueError, match="seq"):
         summaries.ordered(spark.range(1))
+
+
+def test_rows_are_moved_once(spark, capsys):
+    """Beside the dealing out, which is done when the rows are stored, only the carried rows are exchanged."""
+    rows = rows_of(spark, *SHAPES["a third under one key"])
+    lookback.with_previous(rows, "key", ["ts", "seq"]).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_a_row_before_in_another_batch(spark, apart):
+    """The row before is found across Arrow batches and across ranges."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        rows = spark.range(1000).selectExpr("concat('k', id div 300) AS key", "id AS ts", "id AS seq", "id % 7 AS amount")
+        got = lookback.with_previous(rows, "key", ["ts", "seq"])
+        assert got.where("ts % 300 = 0 AND prev IS NULL OR ts % 300 > 0 AND prev.ts = ts - 1").count() == 1000
+    finally:
+        spark.conf.unset(name)
