@@ -131,3 +131,22 @@ def test_watermark_is_on_the_event_time(spark, tmp_path):
     assert "et" in timed.columns
     with pytest.raises(Exception, match="watermark"):
         result(spark, stream.groupBy("mid").count(), tmp_path)
+
+
+def test_state_of_distinct_counts_holds_no_more_than_it_needs(spark, tmp_path):
+    def answer(at, user, correct):
+        return {"question_id": "q", "user_id": user, "is_correct": correct, "ts": T0 + at}
+
+    stream = batches(spark, tmp_path / "in", "question_id string, user_id string, is_correct string, ts bigint",
+                     [answer(1, "a", "1"), answer(2, "a", "0"), answer(3, None, "0"), answer(9, "b", "1")],
+                     [answer(60, "a", "1")], [answer(120, "a", "1")], [answer(180, "a", "1")])
+    rows = result(spark, states.windowed("dws_exam_question_window", stream), tmp_path)
+    first = {r.stt[-8:]: (r.answer_count, r.correct_answer_count, r.answer_user_count, r.correct_answer_user_count) for r in rows}
+    assert first["00:00:00"] == (3, 1, 2, 1) and first["00:00:05"] == (1, 1, 1, 1) and first["00:01:00"] == (1, 1, 1, 1)
+    keys, values = set(), set()
+    for operator in (0, 1):
+        held = spark.read.format("statestore").option("operatorId", operator).load(str(tmp_path / "state")).schema
+        keys.add(tuple(f.dataType.simpleString() for f in held["key"].dataType))
+        values.add(len(held["value"].dataType))
+    assert keys == {("timestamp", "string"), ("timestamp", "string", "string")} and values == {3, 4}
+    assert spark.conf.get("spark.sql.streaming.stateStore.compression.codec") == "zstd"
