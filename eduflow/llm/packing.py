@@ -49,6 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                 inner[ends - 1] = False
                 ids[inner] = found
                 yield cut(docs, sizes + 1, memoryview(ids).cast("B"))
+        words.forget()
 
     def cut(docs: pa.Array, lengths: np.ndarray, ids: memoryview) -> pa.RecordBatch:
         many = -(-lengths // capacity)

@@ -130,6 +130,11 @@ class WordTokens:
         raw = list(map(self.known.__getitem__, words))
         return np.fromiter(map(len, raw), np.int64, len(raw)) // 4, np.frombuffer(b"".join(raw), "<u4")
 
+    def forget(self) -> None:
+        """Give back what the words took: a worker lives on after its task, beside the next stages'."""
+        self.known = {}
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Block by block: the ids of whole texts end to end, and how many each text has; null is empty.
 

@@ -670,3 +670,19 @@ def test_pipeline_by_brute_force(spark):
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, DATA)
     assert rows.count() > 0 and rows.where("length > 4096 or offset + length > 4096").count() == 0
+
+
+def test_workers_give_back_the_words_of_a_task(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and more words", "en") for i in range(400)], "doc_id long, text string, lang string")
+    common.importable(spark)
+    assert packing.pieces(docs.repartition(4), PATH, 4096, 1).count() == 400
+    assert near_dedup.sketched(docs.repartition(4)).count() == 400
+
+    def held(batches):
+        from eduflow.llm import common, tokens
+
+        n = sum(len(x.known) for x in tokens.WORDS.values()) + len(common.WORD_HASHES)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(8).repartition(4).mapInArrow(held, "n long").collect()} == {0}
