@@ -66,3 +66,27 @@ def test_a_pair_that_comes_late_still_finds_its_source(spark, tmp_path):
                                     live(spark, tmp_path / "s", SOURCE, *sources), NEAR, NEAR)
     got, _ = run(rows.where("id in ('a1', 'b1')"), tmp_path)
     assert [(r[0], r[3], r[6], r[8]) for r in got] == [("a1", "a", "p", "s"), ("b1", "b", "p", None)]
+
+
+def test_a_block_gives_its_rows_again_and_is_small():
+    import json
+    import random
+
+    import pyarrow as pa
+
+    from eduflow.streaming.blocks import packed, unpacked
+
+    odd = ["7", "007", "-0", "+1", " 2", None, "", "9223372036854775808", "1e3", "a\n\"b"]
+    rows = pa.table({"key": odd, "at": pa.array([None, *range(2**62, 2**62 + 9)], pa.int64()), "met": [True, False] * 5,
+                     "c0": [str(-n) for n in range(10)], "c1": pa.nulls(10, pa.string()), "c2": ["2147483648", *["1"] * 9]})
+    assert unpacked(packed(rows)).equals(rows)
+    assert unpacked(packed(rows.slice(3, 0))).equals(rows.slice(3, 0))
+    r = random.Random(1)
+    many = [[str(r.randrange(10**7)), str(r.randrange(10**5)), str(r.randrange(10**7)), f"{r.randrange(10**7) / 100:.2f}"]
+            for _ in range(4000)]
+    block = packed(pa.table({f"c{n}": [row[n] for row in many] for n in range(4)}))
+    # one text a row, in a compressed Arrow stream
+    texts, sink = pa.table({"row": [json.dumps(row) for row in many]}), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(texts)
+    assert len(block) < 0.7 * sink.getvalue().size
