@@ -686,3 +686,14 @@ def test_workers_give_back_the_words_of_a_task(spark):
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     assert {r.n for r in spark.range(8).repartition(4).mapInArrow(held, "n long").collect()} == {0}
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_keys_of_one_node_are_left_behind(spark, batch):
+    rows = [(k, n, 5) for k in range(200) for n in range(k % 4)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = near_dedup.shared(spark.createDataFrame(rows, "key long, node long, n long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == [r for r in rows if r[0] % 4 > 1]
